@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality_rules
+from . import line_dedup, pii, quality_rules
 from .common import table
 
 
@@ -21,6 +21,15 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.span_lists(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [of(kind) for kind in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
+
+
 OP3_SQL = r"""
 WITH l AS (
   SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,
@@ -80,7 +89,7 @@ FROM s
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_line_dedup": op3_line_dedup, "op9_quality_rules": op9_quality_rules}
+    return {"op3_line_dedup": op3_line_dedup, "op7_pii": op7_pii, "op9_quality_rules": op9_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
