@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, pii, quality_rules
+from . import line_dedup, mixing, pii, quality_rules
 from .common import table
 
 
@@ -21,6 +21,17 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select(
+        F.col("__id").alias("doc_id"),
+        F.col("__words").alias("size"),
+        F.col("__source_words").alias("source_size"),
+        F.col("__target").alias("target"),
+        (F.col("__copies") * F.col("__words")).cast("long").alias("taken"),
+    )
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.span_lists(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["base"])
@@ -89,7 +100,7 @@ FROM s
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_line_dedup": op3_line_dedup, "op7_pii": op7_pii, "op9_quality_rules": op9_quality_rules}
+    return {"op3_line_dedup": op3_line_dedup, "op6_mixing": op6_mixing, "op7_pii": op7_pii, "op9_quality_rules": op9_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
