@@ -73,7 +73,8 @@ def keep_bitmaps(
     Documents that keep every line have no row at all.
     """
     occ = materialise(occurrences(docs, id_col, text_col, min_key_chars), "lines")
-    gone = occ.join(repeated_keys(occ, min_docs), ["__h1", "__h2"]).where(~F.col("__id").eqNullSafe(F.col("__keeper")))
+    keys = materialise(repeated_keys(occ, min_docs), "keys")  # both sides are then plain shuffles, and a hot key can be split
+    gone = occ.join(keys, ["__h1", "__h2"]).where(~F.col("__id").eqNullSafe(F.col("__keeper")))
     words = gone.groupBy("__id", "__text", F.shiftright("__pos", 6).alias("__word")).agg(
         F.bit_or(F.expr("shiftleft(1L, __pos & 63)")).alias("__bits")
     )
