@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, pii, quality_rules
+from . import byte_bpe, line_dedup, mixing, pii, quality_rules
 from .common import table
 
 
@@ -41,6 +42,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 OP3_SQL = r"""
 WITH l AS (
   SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,
@@ -100,7 +106,8 @@ FROM s
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_line_dedup": op3_line_dedup, "op6_mixing": op6_mixing, "op7_pii": op7_pii, "op9_quality_rules": op9_quality_rules}
+    made = [op3_line_dedup, op6_mixing, op7_pii, op9_quality_rules, op10_byte_bpe]
+    return {f.__name__: f for f in made}
 
 
 def oracle_sql() -> dict[str, str]:
