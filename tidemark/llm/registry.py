@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_dedup, mixing, pii, quality_rules
+from . import byte_bpe, line_dedup, mixing, pii, quality_rules, token_counts
 from .common import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = line_dedup.with_bitmaps(docs, line_dedup.keep_bitmaps(docs))
@@ -106,7 +111,7 @@ FROM s
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op3_line_dedup, op6_mixing, op7_pii, op9_quality_rules, op10_byte_bpe]
+    made = [op1_token_counts, op3_line_dedup, op6_mixing, op7_pii, op9_quality_rules, op10_byte_bpe]
     return {f.__name__: f for f in made}
 
 
