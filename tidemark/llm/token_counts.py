@@ -274,7 +274,10 @@ class Counter:
     @staticmethod
     def normalised(text: str) -> str:
         """NFC, then lower case by single characters; white space needs no change to be dropped."""
-        text = text if text.isascii() else unicodedata.normalize("NFC", text).translate(_LOWER)
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+            for upper, lower in _LOWER.items():
+                text = text.replace(chr(upper), chr(lower))
         return text.lower()
 
     def _word_starts(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
