@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_dedup, mixing, pii, quality_rules, token_counts
+from . import byte_bpe, line_dedup, mixing, pii, quality_net, quality_rules, token_counts
 from .common import table
 
 
@@ -23,6 +23,13 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("doc_id", "__lines.n_lines", "__lines.n_dropped", F.sha2(F.col("__lines.kept"), 256).alias("kept_sha256"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = quality_net.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality_net.score(docs, net)
+    return scored.select("doc_id", quality_net.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
@@ -111,7 +118,7 @@ FROM s
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_token_counts, op3_line_dedup, op6_mixing, op7_pii, op9_quality_rules, op10_byte_bpe]
+    made = [op1_token_counts, op3_line_dedup, op6_mixing, op7_pii, op8_quality_classifier, op9_quality_rules, op10_byte_bpe]
     return {f.__name__: f for f in made}
 
 
