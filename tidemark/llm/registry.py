@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_dedup, mixing, pii, quality_net, quality_rules, token_counts
+from . import byte_bpe, line_dedup, mixing, pii, quality_net, quality_rules, token_counts, url_filter
 from .common import table
 
 
@@ -17,6 +17,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = line_dedup.with_bitmaps(docs, line_dedup.keep_bitmaps(docs))
@@ -118,7 +122,7 @@ FROM s
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_token_counts, op3_line_dedup, op6_mixing, op7_pii, op8_quality_classifier, op9_quality_rules, op10_byte_bpe]
+    made = [op1_token_counts, op2_url_filter, op3_line_dedup, op6_mixing, op7_pii, op8_quality_classifier, op9_quality_rules, op10_byte_bpe]
     return {f.__name__: f for f in made}
 
 
