@@ -13,12 +13,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 Fold = Callable[[Column, Column], Column]
 
 
+def _kind_of(df: DataFrame, c: Column) -> DataType:
+    """Type of a column, with nulls allowed in its fields, as a fold's accumulator needs it."""
+    return _nullable(df.select(c.alias("c")).schema["c"].dataType)
+
+
+def _nullable(kind: DataType) -> DataType:
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _nullable(f.dataType)) for f in kind])
+    return kind
+
+
 def value_state(df: DataFrame, key: list[str], seq: str, value: Column, default: Column | None = None) -> DataFrame:
     """The last value; updating to null clears, and a cleared value reads as the default or is absent."""
     last = df.groupBy(*key).agg(F.max_by(F.struct(value.alias("v")), F.col(seq)).alias("s"))
@@ -64,7 +76,7 @@ def map_entries(states: DataFrame, key: list[str], map_key: str, value: str = "v
 def reducing_state(df: DataFrame, key: list[str], seq: str, value: Column, reduce: Fold) -> DataFrame:
     """``reduce(current, value)`` in order; the first value is stored as it is, adding null clears."""
     rows = df.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), value.alias("v")))).alias("l"))
-    kind = df.select(value.alias("v")).schema["v"].dataType
+    kind = _kind_of(df, value)
     step = lambda a, x: F.when(x["v"].isNull(), F.lit(None).cast(kind)).when(a.isNull(), x["v"]).otherwise(reduce(a, x["v"]).cast(kind))
     folded = rows.select(*key, F.aggregate("l", F.lit(None).cast(kind), step).alias("value"))
     return folded.where(F.col("value").isNotNull())
@@ -73,8 +85,8 @@ def reducing_state(df: DataFrame, key: list[str], seq: str, value: Column, reduc
 def aggregating_state(df: DataFrame, key: list[str], seq: str, value: Column, zero: Column, add: Fold, result: Callable[[Column], Column]) -> DataFrame:
     """The accumulator of ``add`` from ``zero``, and its result; adding null or an add to null clears."""
     rows = df.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), value.alias("v")))).alias("l"))
-    kind = df.select(zero.alias("z")).schema["z"].dataType
-    step = lambda a, x: F.when(x["v"].isNull(), F.lit(None).cast(kind)).otherwise(add(F.coalesce(a, zero), x["v"]).cast(kind))
+    kind = _kind_of(df, zero)
+    step = lambda a, x: F.when(x["v"].isNull(), F.lit(None).cast(kind)).otherwise(add(F.coalesce(a, zero.cast(kind)), x["v"]).cast(kind))
     folded = rows.select(*key, F.aggregate("l", F.lit(None).cast(kind), step).alias("accumulator"))
     return folded.where(F.col("accumulator").isNotNull()).withColumn("result", result(F.col("accumulator")))
 

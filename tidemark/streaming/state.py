@@ -28,6 +28,11 @@ class _Ordered(StatefulProcessor):
     def __init__(self, seq: str, ttl_seconds: float | None = None):
         self.seq, self.ttl = seq, ttl_ms(ttl_seconds)
 
+    names: list[str] = []  #: of the output columns; run() sets them
+
+    def row(self, *values: Any) -> Row:
+        return Row(**dict(zip(self.names, values, strict=True)))
+
     def in_order(self, rows: Iterator[Row]) -> list[Row]:
         return sorted(rows, key=lambda r: r[self.seq])
 
@@ -65,7 +70,7 @@ class ValueFold(_Ordered):
             self.state.clear()
         else:
             self.state.update((now,))
-            yield Row(*key, self.result(now))
+            yield self.row(*key, self.result(now))
 
 
 def newest(column: str) -> Callable[[Any, Row], Any]:
@@ -98,7 +103,7 @@ class ListAppend(_Ordered):
             raise ValueError("A list state can't hold null")
         if added:
             self.state.appendList(added)
-        yield Row(*key, len(added))
+        yield self.row(*key, len(added))
 
 
 class MapPut(_Ordered):
@@ -126,7 +131,7 @@ class MapPut(_Ordered):
                     self.state.removeKey((k,))
             else:
                 self.state.updateValue((k,), (r[self.column],))
-        yield Row(*key, len(last))
+        yield self.row(*key, len(last))
 
 
 class Timers(_Ordered):
@@ -158,7 +163,7 @@ class Timers(_Ordered):
         return iter(())
 
     def handleExpiredTimer(self, key, timers, expired) -> Iterator[Row]:
-        yield Row(*key, expired.getExpiryTimeInMs())
+        yield self.row(*key, expired.getExpiryTimeInMs())
 
 
 def run(
@@ -171,6 +176,9 @@ def run(
     initial: DataFrame | None = None,
 ) -> DataFrame:
     """The processor over a stream (or a frame, as one batch)."""
+    output = StructType.fromDDL(output) if isinstance(output, str) else output
+    if isinstance(processor, _Ordered):
+        processor.names = output.names
     grouped = rows.groupBy(*key)
     return grouped.transformWithState(processor, output, output_mode, time_mode, None if initial is None else initial.groupBy(*key))
 
