@@ -2,66 +2,22 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import materialise
+
 #: The white space of all contracts here: space and the ASCII controls 09 to 0D.
 SPACES = " \t\n\x0b\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_roots: dict[str, str] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the test data, through Spark's reader so that any store works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """A folder of this application's own below ``spark.checkpoint.dir``.
-
-    That setting names the folder which all machines of the cluster share.  Only
-    where it is unset, as in tests on one machine, a local temporary folder is
-    used instead.  The folder goes when the driver's Python ends.
-    """
-    sc = spark.sparkContext
-    if sc.applicationId not in _roots:
-        base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-        if not base:
-            base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-            sc.setCheckpointDir(base)
-        root = f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
-        _roots[sc.applicationId] = root
-        atexit.register(_remove, spark, root)
-    return _roots[sc.applicationId]
-
-
-def _remove(spark: SparkSession, root: str) -> None:
-    try:
-        path = spark._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    except Exception:  # the JVM may be gone already: the folder then stays, as any checkpoint does
-        pass
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared scratch folder and read it from there.
-
-    Cuts the lineage: later stages survive lost executors without running the
-    plan behind ``df`` again.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased and nothing else; the cheap built-in where the text is all ASCII."""
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
@@ -75,3 +31,6 @@ def whole(c: str | Column) -> Column:
 def text_hash(c: Column) -> Column:
     """64 bits that tell apart rows which share an id but not a text."""
     return F.xxhash64(F.lit(11), c)
+
+
+__all__ = ["LOWER", "SPACES", "SPACE_RUN", "UPPER", "WORD", "ascii_lower", "materialise", "table", "text_hash", "whole"]
