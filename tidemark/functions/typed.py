@@ -116,7 +116,7 @@ def parse_value(text: str, kind: T.DataType) -> object:
 def display(c: Column, kind: T.DataType) -> Column:
     """A value as shown: text; longs too large for a double as text too; bytes as base64 and UTF-8."""
     if isinstance(kind, T.BinaryType):
-        return F.to_json(F.struct(F.base64(c).alias("b64"), F.try_validate_utf8(F.decode(c, "UTF-8")).alias("utf8")))
+        return F.to_json(F.struct(F.base64(c).alias("b64"), F.try_validate_utf8(c.cast("string")).alias("utf8")))
     if isinstance(kind, T.StructType | T.ArrayType | T.MapType):
         return F.to_json(c)
     return c.cast("string")

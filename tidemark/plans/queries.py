@@ -385,7 +385,7 @@ def _finished(stream: DataFrame, spark: SparkSession, mode: str = "update") -> s
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _t(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "ts")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", st.PROVIDER)
+    st.configure(spark)
     return spark.readStream.schema(rows.schema).parquet(_as_folder(spark, rows))
 
 

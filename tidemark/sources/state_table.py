@@ -74,7 +74,8 @@ def read_timers(spark: SparkSession, checkpoint: str, operator: int = 0, batch:
 
 
 def state_changes(spark: SparkSession, checkpoint: str, name: str, start: int, end: int | None = None, operator: str | int | None = None) -> DataFrame:
-    """What batches ``start`` to ``end`` changed in one state; the query must not run meanwhile."""
+    """What batches ``start`` to ``end`` changed in one state; the query must not run meanwhile, and
+    has to have written changelogs (``streaming.state.configure``)."""
     state = pick_state(state_catalog(spark, checkpoint), name, None, operator)
     reader = _reader(spark, checkpoint, state, None).option("stateVarName", name).option("readChangeFeed", True).option("changeStartBatchId", start)
     return (reader if end is None else reader.option("changeEndBatchId", end)).load(checkpoint)

@@ -134,7 +134,7 @@ class KeyedTable:
         schema = self._schema_for(changes, seq, op, values)
         if last is not None:
             old = self.schema(last)
-            if [(f.name, f.dataType) for f in old] != [(f.name, f.dataType) for f in schema]:
+            if old.simpleString() != schema.simpleString():
                 raise OptionError(f"The rows' columns {schema.simpleString()} differ from the table's {old.simpleString()}")
         # columns that seq also names as values are carried twice: once to order, once to keep
         ordered = changes.select(*[F.col(c) for c in (*self.key, *([op] if op else []))], *[F.col(s).alias(f"_seq{i}") for i, s in enumerate(seq)], *[F.col(c) for c in schema.names if c not in self.key])

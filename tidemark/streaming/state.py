@@ -12,13 +12,19 @@ from collections.abc import Callable, Iterator
 from math import ceil
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DataType, LongType, StructField, StructType
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def configure(spark: SparkSession) -> None:
+    """What these processors need of a session: the RocksDB store, and its changelog for :func:`state_changes`."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def ttl_ms(seconds: float | None) -> int | None:
     """Whole seconds, rounded up, one at least."""
     return None if seconds is None else 1000 * max(1, ceil(seconds))
@@ -59,10 +65,10 @@ class ValueFold(_Ordered):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState(self.name, _struct("value", self.kind), self.ttl)
 
-    def handleInitialState(self, key, initial: Row, timers) -> None:
-        self.state.update((initial["value"],))
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.state.update((initialState["value"],))
 
-    def handleInputRows(self, key, rows, timers) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         now = self.state.get()[0] if self.state.exists() else None
         for row in self.in_order(rows):
             now = self.fold(now, row)
@@ -97,7 +103,7 @@ class ListAppend(_Ordered):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getListState(self.name, _struct("value", self.kind), self.ttl)
 
-    def handleInputRows(self, key, rows, timers) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         added = [(r[self.column],) for r in self.in_order(rows)]
         if any(v is None for (v,) in added):
             raise ValueError("A list state can't hold null")
@@ -119,7 +125,7 @@ class MapPut(_Ordered):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getMapState(self.name, _struct("map_key", self.key_kind), _struct("value", self.kind), self.ttl)
 
-    def handleInputRows(self, key, rows, timers) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         last: dict[Any, Row] = {}
         for r in self.in_order(rows):
             if r[self.map_key] is None:
@@ -148,7 +154,7 @@ class Timers(_Ordered):
         self.handle = handle
         self.count = handle.getValueState("registered", _struct("value", LongType()))
 
-    def handleInputRows(self, key, rows, timers) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         have = set(self.handle.listTimers())
         for r in self.in_order(rows):
             at = int(r[self.time])
@@ -162,8 +168,8 @@ class Timers(_Ordered):
         self.count.update((len(have),))
         return iter(())
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[Row]:
-        yield self.row(*key, expired.getExpiryTimeInMs())
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield self.row(*key, expiredTimerInfo.getExpiryTimeInMs())
 
 
 def run(
