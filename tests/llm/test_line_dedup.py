@@ -1,0 +1,76 @@
+"""Dropped lines against plain code, and the defined cases."""
+
+import random
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from tidemark.llm import line_dedup
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def key(line):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(SPACES))
+
+
+def plain(rows):
+    """Kept text of each row by the words of the contract; null ids are the smallest, and one document."""
+    holders = defaultdict(set)
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            holders[key(line)].add(i)
+    out = []
+    for i, t in rows:
+        stay = []
+        for line in (t or "").split("\n"):
+            held = holders[key(line)]
+            last = max((x for x in held if x is not None), default=None)
+            if len(key(line)) < 20 or len(held) < 3 or i == last:
+                stay.append(line)
+        out.append((i, t, "\n".join(stay)))
+    return out
+
+
+def rows():
+    random.seed(1)
+    shared = ["This line is shared by very many documents", "  Ünïcode lines are shared, too, É  ", "x" * 20, "short", "\tTHIS LINE is shared by very many documents \r", "y" * 19]
+    made = []
+    for i in range(300):
+        lines = [random.choice(shared) if random.random() < 0.4 else f"a line of its own number {random.random()}" for _ in range(random.randint(1, 90))]
+        made.append((i * 997 % 60_000, "\n".join(lines)))
+    made += [(None, shared[0] + "\n" + shared[2]), (None, shared[0]), (70_001, None), (70_002, ""), (70_003, "\n\n\n"), (made[0][0], made[0][1]), (made[1][0], shared[0] + "\nother text"), (70_004, ("long " * 30_000) + "\n" + shared[0])]
+    made += [(80_000 + i, shared[2] + "\n" + shared[2]) for i in range(5)]
+    return made
+
+
+def test_equals_plain_code(spark):
+    made = rows()
+    df = spark.createDataFrame([(*r, 5, "z") for r in made], "doc_id long, text string, n_kept int, `h1` string")
+    got = line_dedup.dedup_lines(df)
+    assert got.columns == df.columns
+    assert sorted(repr((r["doc_id"], r["text"])) for r in got.collect()) == sorted(repr((i, kept)) for i, _, kept in plain(made))
+    marks = line_dedup.with_bitmaps(df, line_dedup.keep_bitmaps(df)).select("doc_id", "text", "__lines.*").collect()
+    for r in marks:
+        lines = (r["text"] or "").split("\n")
+        assert r["n_lines"] == len(lines)
+        assert r["n_lines"] - r["n_dropped"] == (len(r["kept"].split("\n")) if r["kept"] or r["n_dropped"] < r["n_lines"] else 0)
+
+
+def test_bitmaps_mark_the_dropped_lines(spark):
+    texts = ["\n".join(["shared line that is long enough"] + [f"own line {i} of document {d}" for i in range(130)] + ["shared line that is long enough"]) for d in range(4)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["__id"]: r for r in line_dedup.keep_bitmaps(df).collect()}
+    assert sorted(got) == [0, 1, 2] and all(r["__dropped"] == 2 for r in got.values())
+    assert got[0]["__bitmap"] == [1, 0, 1 << (131 - 128)]
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert line_dedup.dedup_lines(df).count() == 0
+
+
+def test_hot_keys_are_spread_over_blocks(spark):
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("one line that every document has").alias("text"))
+    got = line_dedup.dedup_lines(df).where("text <> ''").collect()
+    assert [r["doc_id"] for r in got] == [19_999]

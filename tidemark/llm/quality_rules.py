@@ -86,8 +86,9 @@ def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     found = found.withColumn("__at", F.sort_array(_repeated_at(F.col("__packed"))))
     own = F.transform("__at", lambda i: F.get("__h", i))
     tops = F.transform("__at", lambda i: F.shiftright(F.get("__h", i), POSITION_BITS))
-    clash = (F.size("__h") > (1 << POSITION_BITS)) | (F.size(F.array_distinct(own)) != F.size(F.array_distinct(tops)))
-    found = found.withColumn("__sure", F.when((F.size("__at") > 0) & clash, _repeated_exactly(F.col("__h"))).otherwise(F.col("__at")))
+    beyond = F.size("__h") > (1 << POSITION_BITS)
+    clash = (F.size("__at") > 0) & (F.size(F.array_distinct(own)) != F.size(F.array_distinct(tops)))
+    found = found.withColumn("__sure", F.when(beyond | clash, _repeated_exactly(F.col("__h"))).otherwise(F.col("__at")))
     steps = F.transform("__sure", lambda i, k: F.least(F.lit(3), F.coalesce(F.get("__sure", k + 1) - i, F.lit(3))))
     repeated = F.aggregate(steps, F.lit(0), lambda a, x: a + x).cast("long")
     return found.select("__id", "__host", "__text", "n_words", "word_chars", "n_symbols", "n_dup_lines", repeated.alias("n_repeat_words"), "__lines")
