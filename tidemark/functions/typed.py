@@ -113,6 +113,15 @@ def parse_value(text: str, kind: T.DataType) -> object:
     raise TypeProblem(f"Type {kind.simpleString()} can't be given as text")
 
 
+def parse_column(c: Column, kind: T.DataType) -> Column:
+    """Texts as values of the type, null where they aren't any; base64 for binary, true or false alone for boolean."""
+    if isinstance(kind, T.BinaryType):
+        return F.try_to_binary(c, F.lit("base64"))
+    if isinstance(kind, T.BooleanType):
+        return F.when(F.lower(c) == "true", True).when(F.lower(c) == "false", False)
+    return c.try_cast(kind)
+
+
 def display(c: Column, kind: T.DataType) -> Column:
     """A value as shown: text; longs too large for a double as text too; bytes as base64 and UTF-8."""
     if isinstance(kind, T.BinaryType):

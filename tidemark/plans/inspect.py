@@ -21,7 +21,7 @@ from ..operators.scan import read_page, scan
 from ..options import OptionError, TableOptions, normalised_path
 from ..sources.kind import TABLE, detect_kind
 from ..sources.snapshots import SnapshotLog
-from ..sources.state_table import read_state, read_timers, state_catalog
+from ..sources.state_table import partition_of, read_state, read_timers, state_catalog
 from ..sources.table import KeyedTable
 
 
@@ -33,6 +33,7 @@ class Target:
     kind: str
     operator: int | None = None
     ttl: bool = False
+    partitions: int = 1
 
 
 @dataclass
@@ -103,7 +104,7 @@ class Inspector:
             return [Target("table", "TABLE")]
         states = state_catalog(self.spark, self.root)
         order = {"TIMER": 1, "RAW": 2}
-        found = [Target(f"timer:{s['name'].strip('$')}" if s["kind"] == "TIMER" else s["name"], s["kind"], s["operator_id"], s["ttl"]) for s in states]
+        found = [Target(f"timer:{s['name'].strip('$')}" if s["kind"] == "TIMER" else s["name"], s["kind"], s["operator_id"], s["ttl"], s["partitions"]) for s in states]
         return sorted(found, key=lambda t: order.get(t.kind, 0))
 
     def target(self, id: str | None = None) -> Target:
@@ -134,7 +135,11 @@ class Inspector:
             return rows
         rows = read_state(self.spark, self.root, t.id, None, t.operator, self.reading)
         if key:
-            rows = rows.where(_fields_equal("state_key", rows.schema["state_key"].dataType, key))
+            kind = rows.schema["state_key"].dataType
+            rows = rows.where(_fields_equal("state_key", kind, key))
+            if set(key) == set(kind.names):  # a whole key is in one partition
+                own = [F.lit(parse_value(key[f.name], f.dataType)).cast(f.dataType) for f in kind]
+                rows = rows.where(F.col("partition_id") == partition_of(own, t.partitions))
         if map_key is not None:
             if t.kind != "MAP":
                 raise OptionError(f"'{t.id}' is not a map")

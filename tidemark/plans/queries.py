@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from ..functions.typed import guarded_long
+from ..functions.typed import guarded_long, parse_column
 from ..operators import keyed_state as ks
 from ..operators import relational as rel
 from ..operators.lookup import Lookup, multi_get, track
@@ -15,10 +16,11 @@ from ..operators.scan import byte_prefix, key_range, page, scan, whole_key
 from ..options import TableOptions
 from ..scratch import scratch_path
 from ..sources.kind import detect_kind
-from ..sources.state_table import read_state, read_timers, state_catalog
+from ..sources.state_table import read_join_side, read_state, read_timers, state_catalog
 from ..sources.table import KeyedTable, snapshot_diff
 from ..streaming import state as st
 from ..streaming.tables import follow, upsert_stream
+from .sql import create_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _made: dict[str, tuple[Query, str | None]] = {}
@@ -405,8 +407,6 @@ def value_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT user_id, CAST(count(*) AS BIGINT) AS n, CAST(sum(event_id) AS BIGINT) AS total FROM events GROUP BY user_id""")
 def list_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql.types import LongType
-
     fold = st.ListAppend("event_id", "event_id", LongType())
     at = _finished(st.run(_events_stream(spark, sf_dir), ["user_id"], fold, "user_id long, added long"), spark)
     return read_state(spark, at, "list", "LIST").groupBy("state_key.user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value.value").alias("total"))
@@ -414,7 +414,7 @@ def list_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT user_id, event_type, max(event_id) AS last_event FROM events GROUP BY user_id, event_type""")
 def map_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql.types import LongType, StringType
+    from pyspark.sql.types import StringType
 
     fold = st.MapPut("event_id", "event_type", "event_id", StringType(), LongType())
     at = _finished(st.run(_events_stream(spark, sf_dir), ["user_id"], fold, "user_id long, touched long"), spark)
@@ -433,8 +433,6 @@ def reducing_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT user_id, count(*) AS n FROM events GROUP BY user_id""")
 def aggregating_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql.types import LongType
-
     fold = st.ValueFold("event_id", LongType(), st.aggregating("event_id", int, lambda n, _: n + 1), name="count")
     at = _finished(st.run(_events_stream(spark, sf_dir), ["user_id"], fold, "user_id long, value long"), spark)
     return read_state(spark, at, "count").select("state_key.user_id", F.col("value.value").alias("n"))
@@ -458,6 +456,76 @@ def state_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "name string, kind string, ttl boolean")
 
 
+@query("""
+SELECT user_id, event_id, CAST(epoch_us(ts) AS BIGINT) AS us FROM events WHERE event_type = 'view'
+""")
+def join_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream-stream join keeps of its left input, read from its checkpoint."""
+    stream = _events_stream(spark, sf_dir)
+    views = stream.where("event_type = 'view'").select(F.col("user_id").alias("u"), "event_id", "ts")
+    buys = _events_stream(spark, sf_dir).where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("buy_id"))
+    at = _finished(views.join(buys, F.col("u") == F.col("user_id")), spark, "append")
+    return read_join_side(spark, at, "left").select(F.col("value.u").alias("user_id"), "value.event_id", F.unix_micros(F.col("value.ts").cast("timestamp")).alias("us"))
+
+
+def _collected(stream: DataFrame, spark: SparkSession, mode: str) -> DataFrame:
+    """A bounded stream's last output, as its sink got it."""
+    out = scratch_path(spark, "out")
+    stream.writeStream.outputMode(mode).foreachBatch(lambda rows, id: rows.write.mode("overwrite").parquet(out)).option("checkpointLocation", scratch_path(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query("""SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS n FROM events GROUP BY ALL""")
+def tumbling_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windowed counts of a stream with a watermark, all windows at the end."""
+    stream = _events_stream(spark, sf_dir).withColumn("time", F.col("ts").cast("timestamp")).withWatermark("time", "1 hour")
+    counts = stream.groupBy("event_type", F.window("time", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    return _collected(counts, spark, "complete").select("event_type", F.col("w.start").cast("timestamp_ntz").alias("start"), "n")
+
+
+@query("""
+WITH a AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS brk FROM events),
+b AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid FROM a)
+SELECT user_id, min(ts) AS start, count(*) AS n FROM b GROUP BY user_id, sid
+""")
+def session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of a stream, merged as rows come."""
+    stream = _events_stream(spark, sf_dir).withColumn("time", F.col("ts").cast("timestamp")).withWatermark("time", "1 hour")
+    counts = stream.groupBy("user_id", F.session_window("time", "30 minutes").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    return _collected(counts, spark, "complete").select("user_id", F.col("w.start").cast("timestamp_ntz").alias("start"), "n")
+
+
+@query("""SELECT DISTINCT user_id, event_type FROM events""")
+def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first row of each key of a stream."""
+    return _collected(_events_stream(spark, sf_dir).select("user_id", "event_type").dropDuplicates(), spark, "append")
+
+
+@query("""
+SELECT c.n_name AS nation, count(*) AS n, CAST(sum(CAST(floor(o.o_totalprice) AS BIGINT)) AS BIGINT) AS total
+FROM orders o JOIN customer k ON o.o_custkey = k.c_custkey JOIN nation c ON k.c_nationkey = c.n_nationkey GROUP BY ALL
+""")
+def sql_over_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared tables, filled by a query and joined in SQL."""
+    columns = {"c_custkey": "BIGINT", "c_name": "VARCHAR(40)", "c_nationkey": "INT"}
+    declared = create_table(spark, columns, path=scratch_path(spark, "sql"), primary_key="c_custkey", bucket=8)
+    declared.insert_into(_t(spark, sf_dir, "customer"))
+    declared.register("tidemark_customer")
+    _t(spark, sf_dir, "orders").createOrReplaceTempView("tidemark_orders")
+    _t(spark, sf_dir, "nation").createOrReplaceTempView("tidemark_nation")
+    return spark.sql("""
+        SELECT n_name AS nation, count(*) AS n, sum(cast(floor(o_totalprice) AS bigint)) AS total
+        FROM tidemark_orders JOIN tidemark_customer ON o_custkey = c_custkey JOIN tidemark_nation ON c_nationkey = n_nationkey
+        GROUP BY n_name""")
+
+
+@query("""SELECT event_id, TRY_CAST(event_type AS BIGINT) AS wrong, CAST(event_id AS BIGINT) AS parsed FROM events""")
+def typed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as typed values; what isn't one is null."""
+    text = _t(spark, sf_dir, "events").select("event_id", "event_type", F.col("event_id").cast("string").alias("t"))
+    return text.select("event_id", parse_column(F.col("event_type"), LongType()).alias("wrong"), parse_column(F.col("t"), LongType()).alias("parsed"))
+
+
 # -- what a host would run over the tables -----------------------------------------------
 
 

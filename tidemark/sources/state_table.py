@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -73,6 +73,19 @@ def read_timers(spark: SparkSession, checkpoint: str, operator: int = 0, batch:
     return rows.select(F.col("expiration_timestamp_ms").alias("timestamp_ms"), F.col("key").alias("state_key"), "partition_id")
 
 
+def read_join_side(spark: SparkSession, checkpoint: str, side: str, operator: int = 0, batch: int | None = None) -> DataFrame:
+    """Rows that a stream-stream join keeps of its ``left`` or ``right`` input."""
+    if side not in ("left", "right"):
+        raise OptionError(f"A join has a 'left' and a 'right' side, not '{side}'")
+    rows = _reader(spark, checkpoint, {"operator_id": operator}, batch).option("joinSide", side).load(checkpoint)
+    return rows.select(F.col("key").alias("state_key"), "value", "partition_id")
+
+
+def partition_of(key: list[Column], partitions: int) -> Column:
+    """The state partition of a whole grouping key."""
+    return F.pmod(F.hash(*key), F.lit(partitions)).cast("int")
+
+
 def state_changes(spark: SparkSession, checkpoint: str, name: str, start: int, end: int | None = None, operator: str | int | None = None) -> DataFrame:
     """What batches ``start`` to ``end`` changed in one state; the query must not run meanwhile, and
     has to have written changelogs (``streaming.state.configure``)."""

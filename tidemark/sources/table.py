@@ -87,7 +87,14 @@ class KeyedTable:
     # -- reading -----------------------------------------------------------------
 
     def schema(self, snapshot: Snapshot) -> StructType:
-        return self.schemas.blob(snapshot.schema)
+        """The snapshot's schema; where its blob can't be read, that of its files."""
+        try:
+            return self.schemas.blob(snapshot.schema)
+        except Exception:  # the schema log is a help for readers, the files say it all
+            path = next((f for listed in snapshot.files.values() for f in listed), None)
+            if path is None:
+                raise
+            return self.spark.read.parquet(f"{self.root}/{path}").schema
 
     def read(self, id: int | None = None, columns: list[str] | None = None, with_bucket: bool = False) -> DataFrame:
         """All rows of a snapshot, the newest if ``id`` is None.  Columns are bound by name; one that
