@@ -45,4 +45,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it from there: its lineage ends."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made._scratch_path = path
+    return made
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`materialise` wrote and nothing reads any more; other frames are left alone."""
+    for df in tables:
+        path = getattr(df, "_scratch_path", None)
+        if path:
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
