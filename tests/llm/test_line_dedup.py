@@ -46,11 +46,11 @@ def rows():
 
 def test_equals_plain_code(spark):
     made = rows()
-    df = spark.createDataFrame([(*r, 5, "z") for r in made], "doc_id long, text string, n_kept int, `h1` string")
+    df = spark.createDataFrame([(*r, 5, "z") for r in made], "doc_id long, text string, n_lines int, `__text` string")
     got = line_dedup.dedup_lines(df)
     assert got.columns == df.columns
     assert sorted(repr((r["doc_id"], r["text"])) for r in got.collect()) == sorted(repr((i, kept)) for i, _, kept in plain(made))
-    marks = line_dedup.with_bitmaps(df, line_dedup.keep_bitmaps(df)).select("doc_id", "text", "__lines.*").collect()
+    marks = line_dedup.with_bitmaps(df, line_dedup.keep_bitmaps(df)).select("row.doc_id", "row.text", "lines.*").collect()
     for r in marks:
         lines = (r["text"] or "").split("\n")
         assert r["n_lines"] == len(lines)

@@ -86,3 +86,43 @@ def test_encoding(kept):
 
 def test_run_equals_its_stages(spark, kept):
     assert sorted(map(tuple, pipeline.run(spark, SF).collect())) == sorted(map(tuple, kept[5]))
+
+
+def odd(spark, rows):
+    fields = "doc_id long, text string, lang string, source string, n_chars long, `__text` int, `__fp` string, score double"
+    return spark.createDataFrame(rows, fields)
+
+
+ODD = [
+    (None, None, None, None, None, None, None, None),
+    (1, None, "en", "a", 0, 1, "x", 0.5),
+    (2, "", None, None, None, 1, "x", None),
+    (3, "some words of a plain text, no more than that.", "en", "a", 1, 1, "x", None),
+    (3, "some words of a plain text, no more than that.", "en", "a", 1, 1, "x", None),
+    (3, "the same id and another text, quite another text", "en", None, 1, 1, "x", None),
+    (4, "long " * 60_000, "en", "b", 1, 1, "x", None),
+    (5, "z" * 50_000, "en", "b", 1, 1, "x", None),
+    (6, "a shared line of this length\n" * 3, "en", "b", 1, 1, "x", None),
+    (7, "a shared line of this length", "en", "b", 1, 1, "x", None),
+    (8, "A SHARED line of this length\n", "en", "b", 1, 1, "x", None),
+]
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_stages_stand_odd_rows(spark, k):
+    """Nulls anywhere, empty and very long texts, repeated rows, extra columns with names used inside."""
+    name, stage = pipeline.STAGES[k]
+    df = odd(spark, ODD)
+    got = stage(spark, df, SF)
+    rows = got.collect()
+    if k < 4:
+        assert got.columns == df.columns
+        own = {(r[0], r[2], r[3], r[5], r[6], r[7]) for r in ODD}
+        assert {(r["doc_id"], r["lang"], r["source"], r["__text"], r["__fp"], r["score"]) for r in rows} <= own
+    if k in (1, 4):
+        assert len(rows) == len(ODD)
+    if k == 1:
+        assert sorted((r["doc_id"], r["text"]) for r in rows if r["doc_id"] in (6, 7, 8)) == [(6, ""), (7, ""), (8, "A SHARED line of this length\n")]
+    if k == 2:
+        assert len(rows) == len({(r["text"] or "").strip() for r in rows})
+    assert stage(spark, df.limit(0), SF).count() == 0

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import discard
 from .common import materialise
 
 
@@ -26,10 +27,12 @@ def components(edges: DataFrame) -> DataFrame:
     while (now := _mark(plain)) != last:
         last = now
         both = plain.unionByName(plain.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        around = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
+        large = both.join(around, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = materialise(large, "large")
-        least = materialise(large.groupBy("a").agg(F.min("b").alias("m")), "least")
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        plain = materialise(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "small")
+        below = materialise(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        small = large.join(below, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = materialise(small.unionByName(below.select("a", F.col("m").alias("b"))).distinct(), "small")
+        discard(plain, around, large, below)  # a round needs only what the one before has written
+        plain = small
     return plain.select(F.col("a").alias("node"), F.col("b").alias("root"))

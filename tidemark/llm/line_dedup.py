@@ -88,10 +88,11 @@ def keep_bitmaps(
 
 
 def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with struct column ``__lines``: n_lines, n_dropped and the kept text."""
+    """Each row of ``docs`` as struct ``row``, and struct ``lines``: n_lines, n_dropped and the kept text."""
     marks = bitmaps.withColumnsRenamed({"__id": "__bid", "__text": "__btext"})
-    keyed = docs.withColumn("__t", whole(text_col)).withColumn("__text", text_hash(F.col("__t")))
-    joined = keyed.join(marks, keyed[id_col].eqNullSafe(marks["__bid"]) & (keyed["__text"] == marks["__btext"]), "left")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("__rid"), whole(text_col).alias("__t"))
+    keyed = rows.withColumn("__rtext", text_hash(F.col("__t")))
+    joined = keyed.join(marks, F.col("__rid").eqNullSafe(F.col("__bid")) & (F.col("__rtext") == F.col("__btext")), "left")
     bit = lambda i: F.coalesce(F.get(F.col("__bitmap"), F.shiftright(i, 6)), F.lit(0).cast("long"))
     kept = F.filter(F.split("__t", "\n"), lambda line, i: F.getbit(bit(i), i.bitwiseAND(F.lit(63))) == 0)
     text = F.when(F.col("__bitmap").isNull(), F.col("__t")).otherwise(F.array_join(kept, "\n"))
@@ -100,7 +101,7 @@ def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", te
         F.coalesce("__dropped", F.lit(0).cast("long")).alias("n_dropped"),
         text.alias("kept"),
     )
-    return joined.withColumn("__lines", lines).drop("__t", "__text", "__bid", "__btext", "__dropped", "__bitmap")
+    return joined.select("row", lines.alias("lines"))
 
 
 def dedup_lines(
@@ -108,4 +109,5 @@ def dedup_lines(
 ) -> DataFrame:
     """``docs`` with repeated lines gone from ``text_col``; all other columns as they were."""
     bitmaps = keep_bitmaps(docs, id_col, text_col, min_key_chars, min_docs)
-    return with_bitmaps(docs, bitmaps, id_col, text_col).withColumn(text_col, F.col("__lines.kept")).drop("__lines")
+    marked = with_bitmaps(docs, bitmaps, id_col, text_col)
+    return marked.select(*[F.col("lines.kept").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

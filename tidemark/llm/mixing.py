@@ -137,3 +137,11 @@ def mix(
     all_ = all_.join(once, all_["__id"].eqNullSafe(once["__cid"]) & (all_["__text"] == once["__ctext"]), "left")
     copies = F.col("__whole") + F.coalesce("__extra", F.lit(0))
     return all_.select("__id", "__text", "__words", "__source", "__source_words", "__target", copies.alias("__copies"))
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``docs``, each as often as :func:`mix` takes it, or not at all."""
+    taken = mix(docs, id_col, text_col, source_col, **options).where("__copies > 0").select("__id", "__text", "__copies").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("__rid"), text_hash(whole(text_col)).alias("__rtext"))
+    joined = rows.join(taken, F.col("__rid").eqNullSafe(F.col("__id")) & (F.col("__rtext") == F.col("__text")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select("row.*")

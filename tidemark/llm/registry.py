@@ -24,7 +24,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = line_dedup.with_bitmaps(docs, line_dedup.keep_bitmaps(docs))
-    return lines.select("doc_id", "__lines.n_lines", "__lines.n_dropped", F.sha2(F.col("__lines.kept"), 256).alias("kept_sha256"))
+    return lines.select("row.doc_id", "lines.n_lines", "lines.n_dropped", F.sha2(F.col("lines.kept"), 256).alias("kept_sha256"))
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

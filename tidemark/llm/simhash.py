@@ -200,6 +200,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = groups(marked, id_col)
     order = F.struct(F.col(id_col).isNull().alias("__null"), F.col(id_col).alias("__kid"), F.col("__text").alias("__ktext"))
     kept = marked.join(found, marked["__fp"] == found["fp"]).groupBy("root").agg(F.min(order).alias("k")).select("k.__kid", "k.__ktext")
-    keyed = docs.withColumn("__text", text_hash(whole(text_col)))
-    mine = keyed.join(kept, keyed[id_col].eqNullSafe(kept["__kid"]) & (keyed["__text"] == kept["__ktext"]))
-    return mine.dropDuplicates(["__kid", "__ktext"]).select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("__rid"), text_hash(whole(text_col)).alias("__rtext"))
+    mine = rows.join(kept, F.col("__rid").eqNullSafe(F.col("__kid")) & (F.col("__rtext") == F.col("__ktext")))
+    return mine.dropDuplicates(["__rid", "__rtext"]).select("row.*")
