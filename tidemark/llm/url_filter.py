@@ -4,7 +4,8 @@ Rules are ``host/path`` strings with a verdict; the longest that fits wins.  URL
 that a rule decides are the labelled ones.  From all of them come the suffix
 statistics, how many URLs under a host suffix are allowed, in ``BUCKETS`` hashed
 buckets, so what reaches the driver and the tasks is bounded.  From a bounded
-sample, the ``max_train`` lowest by a hash of URL and id, a histogram
+sample, the ``max_train`` lowest by a hash of URL and id (only a little more than
+that many are ever sent to the driver), a histogram
 gradient-boosted forest is fitted on the driver with numpy.  Scoring is one pass
 over the URLs in Arrow batches; only id and URL are read, nothing is shuffled.
 
@@ -154,7 +155,7 @@ def _parts(pages: DataFrame, id_col: str, url_col: str, rules: list[tuple[str, s
     return rows.select("*", rule.alias("__rule"), verdict.alias("__said"), bucket(F.col("__host")).alias("__bucket"))
 
 
-def train(parts: DataFrame, max_train: int = 20_000) -> Model | None:
+def train(parts: DataFrame, max_train: int = 5_000) -> Model | None:
     """Fit on the URLs that a rule decides: statistics of all, trees on ``max_train`` of them."""
     labelled = parts.where(F.col("__said").isNotNull())
     good = (F.col("__said") == "allow").cast("int")
@@ -167,14 +168,17 @@ def train(parts: DataFrame, max_train: int = 20_000) -> Model | None:
     prior = k.sum() / n.sum()
     rate, weight = (k + 10 * prior) / (n + 10), np.log1p(n)
     short = labelled.where(F.char_length("__url") <= MAX_URL).select("__url", "__host", "__path", "__bucket", good.alias("y"), F.xxhash64("__url", "__id").alias("o"))
-    sample = short.orderBy("o", "__url").limit(max_train).collect()
+    # of a uniform hash so low a part that it holds hardly more rows than are wanted: only these go to the driver
+    part = min(1.0, (1.2 * max_train + 200) / n.sum())
+    low = short.where(F.shiftrightunsigned("o", 34) < int(part * (1 << 30)))
+    sample = sorted(low.orderBy(F.shiftrightunsigned("o", 34), "o", "__url").limit(max_train).collect(), key=lambda r: (r["o"], r["__url"]))
     if not sample:
         return Model(rate, weight, Forest(float(np.log((prior + 1e-9) / (1 - prior + 1e-9))), []))
     x = features([r["__url"] for r in sample], [r["__host"] for r in sample], [r["__path"] for r in sample], np.array([r["__bucket"] for r in sample]), rate, weight)
     return Model(rate, weight, fit(x, np.array([r["y"] for r in sample], float)))
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, max_train: int = 20_000, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, max_train: int = 5_000, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(id, host, path, rule, verdict, score) of each page; ``score`` is the forest's probability of allow."""
     parts = _parts(pages, id_col, url_col, rules)
     model = train(parts, max_train)
