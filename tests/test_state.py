@@ -185,6 +185,9 @@ def test_timers_fire_once_in_event_time(spark):
     finish(st.run(stream, ["k"], st.Timers("seq", "at", "cancel"), "k long, fired long", "eventTime"), at, got)
     assert sorted((r["k"], r["fired"] - 1000 * base) for r in got) == [(1, 5000), (2, 8000)]
     assert [r["state_key"]["k"] for r in sts.read_timers(spark, at).collect()] == [9]
+    seen = Inspector.open(spark, at)
+    (timers,) = [t.id for t in seen.targets() if t.kind == "TIMER"][:1]
+    assert [seen.rows(timers, timer_prefix=p).count() for p in ("9", "17", "k", "8")] == [1, 1, 0, 0]
 
 
 def test_time_to_live_needs_processing_time(spark):

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,7 +132,8 @@ class Inspector:
         if t.kind == "TIMER":
             rows = read_timers(self.spark, self.root, t.operator, self.reading)
             if timer_prefix is not None:
-                rows = rows.where(F.col("timestamp_ms").cast("string").startswith(timer_prefix) | F.to_json("state_key").contains(f'"{timer_prefix}') | F.to_json("state_key").contains(f":{timer_prefix}"))
+                texts = [F.col("timestamp_ms"), *[F.col(f"state_key.`{n}`") for n in rows.schema["state_key"].dataType.names]]
+                rows = rows.where(reduce(lambda a, b: a | b, (F.coalesce(c.cast("string").startswith(timer_prefix), F.lit(False)) for c in texts)))
             return rows
         rows = read_state(self.spark, self.root, t.id, None, t.operator, self.reading)
         if key:
