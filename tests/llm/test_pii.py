@@ -74,6 +74,17 @@ def test_secrets_are_added_and_long_runs_are_not(found):
     assert not [s for s in by_id[8] if not s["base"]]
 
 
+def test_harmless_strings_are_left_alone(spark):
+    """Nothing speaks for these, be they alone or beside many secrets."""
+    harmless = ["see chapter abcdefghijklmnopq1 of it", "build 20240101-20241231-1234 done", "the word Donaudampfschifffahrt2 here", "at http://x.org/aaaaaaaaaaaaaaaaaaaaaaa1/b", "ISBN 978-3-16-148410-0 and 12345678901234567890"]
+    secret = [f"password={i:02x}a7db7aa4a5fcc783" for i in range(60)]
+    for texts in (harmless, harmless + secret):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r["doc_id"]: [s["kind"] for s in r["spans"] if not s["base"]] for r in pii.span_lists(df).collect()}
+        assert not any(got[i] for i in range(len(harmless)))
+        assert all(got[i] == ["secret"] for i in range(len(harmless), len(texts)))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pii.span_lists(df).count() == 0

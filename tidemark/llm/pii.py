@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -159,7 +160,10 @@ def fit(spans: DataFrame, rounds: int = 50, steps: int = 400, strength: float =
     """EM over counts of vote patterns, then the classifier on EM's likelihoods.
 
     ``strength`` pseudo-votes pull each reliability towards 0.8 and 0.2, which names
-    the two classes and holds where few candidates exist.
+    the two classes and holds where few candidates exist.  The prior stays at or below
+    one half, so a candidate nothing speaks for isn't personal data however many others
+    are.  The classifier also sees every possible pattern at a small weight, so that it
+    follows EM on patterns that the input lacks.
     """
     keys = [*LABELERS, "size", "digits"]
     counts = spans.where(~F.col("base")).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).orderBy(*keys).collect()  # at most 3^4 * 16 rows
@@ -170,7 +174,7 @@ def fit(spans: DataFrame, rounds: int = 50, steps: int = 400, strength: float =
     for _ in range(rounds):
         post = [_posterior(p, prior, rel) for p, *_ in patterns]
         total = sum(n for *_, n in patterns)
-        prior = (sum(q * n for q, (*_, n) in zip(post, patterns, strict=True)) + 1) / (total + 2)
+        prior = min(0.5, (sum(q * n for q, (*_, n) in zip(post, patterns, strict=True)) + 1) / (total + 2))
         new = []
         for j in range(len(LABELERS)):
             hit, all_, hit_no, all_no = strength * 0.8, strength, strength * 0.2, strength
@@ -184,6 +188,9 @@ def fit(spans: DataFrame, rounds: int = 50, steps: int = 400, strength: float =
         ([f"{name}={v}" for name, v in zip(LABELERS, p, strict=True) if v >= 0] + [f"size={size}", f"digits={digits}", "bias"], n, _posterior(p, prior, rel))
         for p, size, digits, n in patterns
     ]
+    every = list(product((-1, 0, 1), repeat=len(LABELERS)))
+    share = 0.2 * sum(n for _, n, _ in rows) / len(every)
+    rows += [([f"{name}={v}" for name, v in zip(LABELERS, p, strict=True) if v >= 0] + ["bias"], share, _posterior(p, prior, rel)) for p in every]
     names = ["bias", *(f"{x}={v}" for x in LABELERS for v in (0, 1)), *(f"{x}={v}" for x in ("size", "digits") for v in range(4))]
     weights, total = dict.fromkeys(names, 0.0), sum(n for _, n, _ in rows)
     for _ in range(steps):  # full-batch gradient steps on the cross-entropy with soft labels
