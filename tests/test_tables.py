@@ -60,7 +60,10 @@ def test_retention_keeps_the_newest_and_their_files(spark, tmp_path):
     with pytest.raises(SnapshotMissing):
         table.read(1)
     listed = {f for i in (4, 5) for fs in table.log.load(i).files.values() for f in fs}
-    assert {p for p, _ in table.log.files.walk("data") if p.endswith(".parquet")} == listed
+    assert {p for p, _ in table.log.files.walk("data") if p.endswith(".parquet") and p.split("/")[1] in {f.split("/")[1] for f in listed}} == listed
+    table.log.files.write("data/commit=lost/_bucket=0/part.parquet", "x")
+    assert "data/commit=lost/_bucket=0/part.parquet" in table.log.vacuum()
+    assert not table.log.files.exists("data/commit=lost") and [len(read(table, i)) for i in (4, 5)] == [4, 5]
     default = KeyedTable.create(spark, TableOptions.of(path=str(tmp_path / "d"), primary_key="id", bucket=1))
     put(spark, default, (1, "a", 1, 1, "+I"))
     put(spark, default, (2, "a", 1, 1, "+I"))

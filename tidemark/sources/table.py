@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, MapType, StringType, StructField, StructType
 
 from ..options import OptionError, TableOptions
-from ..scratch import materialise
+from ..scratch import discard, materialise
 from .schema_log import SchemaLog
 from .snapshots import Snapshot, SnapshotLog, SnapshotMissing
 
@@ -175,6 +175,7 @@ class KeyedTable:
         sha = self.schemas.record(id, schema)
         snapshot = Snapshot(id, self.buckets, self.key, sha, files, sizes, None, batches)
         self.log.commit(snapshot)
+        discard(net)
         self.log.prune(self.retention)
         return snapshot
 
