@@ -90,9 +90,9 @@ def keep_bitmaps(
 def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row of ``docs`` as struct ``row``, and struct ``lines``: n_lines, n_dropped and the kept text."""
     marks = bitmaps.withColumnsRenamed({"__id": "__bid", "__text": "__btext"})
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("__rid"), whole(text_col).alias("__t"))
-    keyed = rows.withColumn("__rtext", text_hash(F.col("__t")))
-    joined = keyed.join(marks, F.col("__rid").eqNullSafe(F.col("__bid")) & (F.col("__rtext") == F.col("__btext")), "left")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("__rid"), text_hash(whole(text_col)).alias("__rtext"))
+    joined = rows.join(marks, F.col("__rid").eqNullSafe(F.col("__bid")) & (F.col("__rtext") == F.col("__btext")), "left")
+    joined = joined.withColumn("__t", whole(F.col(f"row.`{text_col}`")))  # after the join: the text is shuffled once
     bit = lambda i: F.coalesce(F.get(F.col("__bitmap"), F.shiftright(i, 6)), F.lit(0).cast("long"))
     kept = F.filter(F.split("__t", "\n"), lambda line, i: F.getbit(bit(i), i.bitwiseAND(F.lit(63))) == 0)
     text = F.when(F.col("__bitmap").isNull(), F.col("__t")).otherwise(F.array_join(kept, "\n"))
