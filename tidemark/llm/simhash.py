@@ -200,6 +200,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = groups(marked, id_col)
     order = F.struct(F.col(id_col).isNull().alias("__null"), F.col(id_col).alias("__kid"), F.col("__text").alias("__ktext"))
     kept = marked.join(found, marked["__fp"] == found["fp"]).groupBy("root").agg(F.min(order).alias("k")).select("k.__kid", "k.__ktext")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("__rid"), text_hash(whole(text_col)).alias("__rtext"))
-    mine = rows.join(kept, F.col("__rid").eqNullSafe(F.col("__kid")) & (F.col("__rtext") == F.col("__ktext")))
-    return mine.dropDuplicates(["__rid", "__rtext"]).select("row.*")
+    # plain equality on three columns without nulls: the join and the removal of equal rows share one shuffle of the texts
+    key = ["__key", "__null", "__ktext"]
+    same = lambda c: [F.coalesce(F.col(c).cast("string"), F.lit("")).alias("__key"), F.col(c).isNull().alias("__null")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *same(f"`{id_col}`"), text_hash(whole(text_col)).alias("__ktext"))
+    return rows.join(kept.select(*same("__kid"), "__ktext"), key).dropDuplicates(key).select("row.*")
