@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
+from .common import small_batches
+
 #: Pieces whose ids are kept at most; pieces up to LANES bytes are merged in lanes; pieces handled at once.
 CACHE, LANES, BLOCK = 500_000, 256, 100_000
 NONE = np.iinfo(np.int64).max
@@ -248,7 +250,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = ranks(path, pattern)
-        for batch in batches:
+        for batch in small_batches(batches):
             found = _encoded(vocabulary, [t or "" for t in batch.column(text_col).to_pylist()])
             ids = pa.array([np.fromstring(" ".join(b for b in blocks if b), np.int32, sep=" ") for blocks in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "token_ids"])
@@ -274,7 +276,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = ranks(path, pattern)
-        for batch in batches:
+        for batch in small_batches(batches):
             counts, ids_sha, plain_sha = [], [], []
             for blocks in _encoded(vocabulary, [t or "" for t in batch.column(text_col).to_pylist()]):
                 n, said, plain, sep = 0, hashlib.sha256(), hashlib.sha256(), b""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,4 +36,11 @@ def text_hash(c: Column) -> Column:
     return F.xxhash64(F.lit(11), c)
 
 
-__all__ = ["LOWER", "SPACES", "SPACE_RUN", "UPPER", "WORD", "ascii_lower", "materialise", "table", "text_hash", "whole"]
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: a worker then holds few texts as Python strings at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+__all__ = ["LOWER", "SPACES", "SPACE_RUN", "UPPER", "WORD", "ascii_lower", "materialise", "small_batches", "table", "text_hash", "whole"]

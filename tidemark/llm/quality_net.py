@@ -35,6 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .common import small_batches
+
 CHUNK, LAGS, FILTERS, HIDDEN, WIDTH = 64, 24, 8, 16, 4
 HALF = CHUNK // 2
 #: Bytes of one step of scoring; larger ones leave the cache and take several times as long.
@@ -241,7 +243,7 @@ def score(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col: st
     schema = StructType([*docs.select(*kept).schema, StructField(out, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = [(t or "").encode() for t in batch.column(text_col).to_pylist()]
             found = np.full(len(texts), 0.5) if net is None else net.score(texts)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], schema.names)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
-from .common import materialise, text_hash, whole
+from .common import materialise, small_batches, text_hash, whole
 from .components import components
 
 SEED, SHINGLE, DISTANCE = 42, 4, 4
@@ -99,7 +99,7 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", out: str = "__fp")
     schema = StructType([*docs.schema, StructField(out, LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             found = [fingerprint(t) for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], schema.names)
 

@@ -45,6 +45,8 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 from tokenizers import Regex
 from tokenizers.pre_tokenizers import Split
 
+from .common import small_batches
+
 #: Characters handled at once, symbols of a chunk, states kept, answers kept on pairs of tokens.
 SLICE, CHUNK, STATES, MEMO = 1 << 20, 128, 200_000, 300_000
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
@@ -381,7 +383,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path)
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
             tokens = count.count(texts)
             sizes = pa.array([len(t) if t.isascii() else len(t.encode()) for t in texts], pa.int64())
