@@ -221,6 +221,72 @@ def test_initial_state_moves_state_to_a_new_query(spark):
             st.validated_initial(bad, ["k"], schema)
 
 
+def moved(spark, stream, processor, output, start, mode="none"):
+    """The checkpoint of a new query of three partitions that begins with ``start``."""
+    again, before = scratch_path(spark, "ck"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        finish(st.run(stream, ["k"], processor, output, mode, initial=start), again)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    return again
+
+
+def test_initial_state_moves_lists_and_maps(spark):
+    df = spark.createDataFrame([(k, 10 * k + i, f"v{9 - i}", f"m{i}") for k in (1, 2) for i in range(5)], "k long, seq long, v string, m string")
+    more = spark.createDataFrame([(1, 99, "new", "m0"), (3, 99, "new", "m0")], df.schema)
+    at = scratch_path(spark, "ck")
+    fold = lambda: st.ListAppend("seq", "v", StringType())
+    finish(st.run(stream_of(spark, df), ["k"], fold(), "k long, n long"), at)
+    listed = st.with_positions(sts.state_table(spark, TableOptions.of(path=at, **{"state.name": "list"}))).orderBy(F.desc("pos"))
+    schema = StructType([StructField("k", LongType()), StructField("value", StringType()), StructField("pos", LongType())])
+    again = moved(spark, stream_of(spark, more), fold(), "k long, n long", st.validated_initial(listed, ["k"], schema, "pos"))
+    lists = {k: [r["value"]["value"] for r in sts.read_state(spark, again, "list").collect() if r["state_key"]["k"] == k] for k in (1, 2, 3)}
+    old = [f"v{9 - i}" for i in range(5)]
+    assert lists == {1: [*old, "new"], 2: old, 3: ["new"]}
+    at, put = scratch_path(spark, "ck"), lambda: st.MapPut("seq", "m", "v", StringType(), StringType())
+    finish(st.run(stream_of(spark, df), ["k"], put(), "k long, n long"), at)
+    entries = sts.state_table(spark, TableOptions.of(path=at, **{"state.name": "map", "state.kind": "MAP"}))
+    schema = StructType([StructField("k", LongType()), StructField("map_key", StringType()), StructField("map_value", StringType())])
+    again = moved(spark, stream_of(spark, more), put(), "k long, n long", st.validated_initial(entries, ["k"], schema, "map_key"))
+    rows = sts.read_state(spark, again, "map", "MAP").collect()
+    want = {(k, f"m{i}"): f"v{9 - i}" for k in (1, 2) for i in range(5)} | {(1, "m0"): "new", (3, "m0"): "new"}
+    assert {(r["state_key"]["k"], r["map_key"]["map_key"]): r["map_value"]["value"] for r in rows} == want
+    with pytest.raises(ValueError, match="twice"):
+        st.validated_initial(entries.unionAll(entries), ["k"], schema, "map_key")
+    with pytest.raises(ValueError, match="lacks"):
+        st.run(df, ["k"], put(), "k long, n long", initial=listed)
+
+
+def test_initial_state_moves_timers(spark):
+    base = 1_700_000_000
+    shape = lambda rows: spark.createDataFrame(rows, "k long, seq long, s long, after long").select("k", "seq", F.timestamp_seconds("s").alias("time"), ((F.col("s") + F.col("after")) * 1000).alias("at"))
+    at, got = scratch_path(spark, "ck"), []
+    timers = lambda: st.Timers("seq", "at")
+    finish(st.run(stream_of(spark, shape([(1, 1, base, 50), (1, 2, base, 900), (2, 3, base, 60)])).withWatermark("time", "1 second"), ["k"], timers(), "k long, fired long", "eventTime"), at)
+    kept = st.timer_entries(sts.read_timers(spark, at))
+    schema = StructType([StructField("k", LongType()), StructField("timestamp_ms", LongType())])
+    start = st.validated_initial(kept, ["k"], schema, "timestamp_ms")
+    stream = stream_of(spark, shape([(9, 4, base + 100, 5000)]), shape([(9, 5, base + 200, 5000)])).withWatermark("time", "1 second")
+    again = scratch_path(spark, "ck")
+    finish(st.run(stream, ["k"], timers(), "k long, fired long", "eventTime", initial=start), again, got)
+    assert sorted((r["k"], r["fired"] - 1000 * base) for r in got) == [(1, 50_000), (2, 60_000)]
+    assert sorted((r["state_key"]["k"], r["timestamp_ms"] - 1000 * base) for r in sts.read_timers(spark, again).collect()) == [(1, 900_000), (9, 5_100_000), (9, 5_200_000)]
+
+
+def test_initial_state_is_refused_where_it_would_be_dropped(spark):
+    class Deaf(st._Ordered):
+        def init(self, handle):
+            pass
+
+        def handleInputRows(self, key, rows, timerValues):
+            return iter(())
+
+    df = spark.createDataFrame([(1, 1)], "k long, seq long")
+    with pytest.raises(ValueError, match="no initial state"):
+        st.run(df, ["k"], Deaf("seq"), "k long", initial=df)
+
+
 def test_state_names_and_declarations(spark):
     at = scratch_path(spark, "ck")
     finish(st.run(stream_of(spark, numbers(spark, 0, 8)), ["k"], st.ValueFold("seq", DoubleType(), st.newest("v")), "k long, value double"), at)
