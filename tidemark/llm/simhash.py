@@ -65,12 +65,12 @@ def _counted(hashes: list[int]) -> np.ndarray:
     return np.add.reduce(bits, axis=0, dtype=np.int64)
 
 
-def _shingles(words: list[bytes]) -> list[int]:
+def shingles(words: list[bytes], size: int = SHINGLE) -> list[int]:
     """Hashes of the shingles of some words."""
     joined = b" ".join(words)
     ends = list(accumulate(map(len, words), lambda a, n: a + n + 1))
-    starts = [0, *(e + 1 for e in ends[: len(words) - SHINGLE])]
-    return [xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends[SHINGLE - 1 :], strict=True)]
+    starts = [0, *(e + 1 for e in ends[: len(words) - size])]
+    return [xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends[size - 1 :], strict=True)]
 
 
 def fingerprint(text: str | None) -> int:
@@ -85,7 +85,7 @@ def fingerprint(text: str | None) -> int:
     for block in blocks:
         words = kept + block
         if len(words) >= SHINGLE:
-            hashes = _shingles(words)
+            hashes = shingles(words)
             total, counts = total + len(hashes), counts + _counted(hashes)
         kept = words[-(SHINGLE - 1) :]
     if not total and kept:
@@ -198,8 +198,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     marked = with_fingerprint(narrow, text_col).select(id_col, "__fp", text_hash(whole(text_col)).alias("__text"))
     marked = materialise(marked, "fingerprints")
     found = groups(marked, id_col)
-    order = F.struct(F.col(id_col).isNull().alias("__null"), F.col(id_col).alias("__kid"), F.col("__text").alias("__ktext"))
-    kept = marked.join(found, marked["__fp"] == found["fp"]).groupBy("root").agg(F.min(order).alias("k")).select("k.__kid", "k.__ktext")
+    rooted = marked.join(found, marked["__fp"] == found["fp"]).select(F.col(id_col).alias("__id"), "__text", "root")
+    return one_each(docs, rooted, id_col, text_col)
+
+
+def one_each(docs: DataFrame, rooted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows (__id, __text, root) of all documents to one row of ``docs`` for each root, by :func:`keep_one`'s order."""
+    order = F.struct(F.col("__id").isNull().alias("__null"), F.col("__id").alias("__kid"), F.col("__text").alias("__ktext"))
+    kept = rooted.groupBy("root").agg(F.min(order).alias("k")).select("k.__kid", "k.__ktext")
     # plain equality on three columns without nulls: the join and the removal of equal rows share one shuffle of the texts
     key = ["__key", "__null", "__ktext"]
     same = lambda c: [F.coalesce(F.col(c).cast("string"), F.lit("")).alias("__key"), F.col(c).isNull().alias("__null")]
