@@ -11,6 +11,16 @@ from tidemark.llm import registry, token_counts
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def one_counter():
+    """Compiling the library's classes takes seconds; the tests' own counters share them."""
+    token_counts.counter(PATH)
+    known = token_counts._loaded[PATH].classes
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(token_counts, "_classes", lambda: known)
+        yield
+
+
 @pytest.fixture(scope="module")
 def library():
     return Tokenizer.from_file(PATH)
@@ -43,6 +53,43 @@ def test_chunks_tables_and_slices_change_nothing(library, monkeypatch, chunk, st
     assert token_counts.Counter(PATH).count(listed).tolist() == want(library, listed)
 
 
+@pytest.mark.parametrize("sep", ["\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0", "\u2028", "\u200b", " "])
+def test_long_texts_are_cut_where_the_library_sees_white_space(library, monkeypatch, sep):
+    """Python's white space holds U+001C to U+001F, the library's doesn't."""
+    monkeypatch.setattr(token_counts, "SLICE", 40)
+    listed = ["!!" + sep + "!!" * k + " ab" + sep * 2 + "c's" for k in range(60)]
+    listed += ["".join(listed), sep.join(listed)]
+    assert token_counts.Counter(PATH).count(listed).tolist() == want(library, listed)
+
+
+def test_a_text_beyond_two_slices(library):
+    text = "ab " * (token_counts.SLICE // 3) + "x" + "!!\x1c!!" + " cd" * (token_counts.SLICE // 2)
+    assert len(text) > 2 * token_counts.SLICE
+    assert token_counts.counter(PATH).count([text]).tolist() == want(library, [text])
+
+
+@pytest.mark.parametrize("word", ["a" * 100_000, "abc" * 30_000, "theinging" * 9_000, "".join(random.Random(4).choice("etaoins") for _ in range(20_000))])
+def test_long_words_by_composed_maps(library, monkeypatch, word):
+    """The heads' maps close after few walks and are composed by doubling: no walk per chunk."""
+    counter, walks = token_counts.counter(PATH), []
+    walk = counter.transducer._walk
+    monkeypatch.setattr(counter.transducer, "_walk", lambda *a: walks.append(1) or walk(*a))
+    assert counter.count([word, f"x {word}y z"]).tolist() == want(library, [word, f"x {word}y z"])
+    assert len(walks) <= 40 < len(word) // token_counts.CHUNK
+
+
+def test_composition_equals_one_long_walk(monkeypatch):
+    """The same stream in chunks of every size, in small tables too."""
+    monkeypatch.setattr(token_counts, "STATES", 30)
+    counter = token_counts.Counter(PATH)
+    text = "".join(random.Random(8).choice("etaoins" * 9 + " ") for _ in range(3000))
+    counts = set()
+    for chunk in (1, 2, 5, 17, 128, 5000):
+        monkeypatch.setattr(token_counts, "CHUNK", chunk)
+        counts.add(int(counter.count([text])[0]))
+    assert len(counts) == 1
+
+
 def test_frame(spark, library):
     rows = [(1, None, 5), (2, "", 5), (3, "héllo wörld", 5), (3, "héllo wörld", 5), (None, "x " * 3000, 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")

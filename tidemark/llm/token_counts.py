@@ -15,10 +15,15 @@ tables start afresh with the states in use.
 
 The bytes of many texts form one stream, cut into chunks of equal length, and
 numpy steps through all chunks at once.  A chunk's state map is constant from its
-first end of a word on; the bytes before that are the part that depends on the
-state it is entered in.  A first pass gives all constant parts; a scan then composes
-the maps: each chunk is entered in the state its predecessor leaves in, and chunks
-without an end of a word are passed on in further rounds.
+first end of a word on; the bytes before that, its head, are the part that depends
+on the state it is entered in.  A first pass gives all constant parts.  The map of a
+head is then tabulated at the states that can reach it, once for chunks of the same
+bytes: chunks that are all head, in the midst of a long word, are first entered in a
+guess, the state that their predecessor leaves in when it begins a word; and while some
+map leaves in a state at which a following one isn't tabulated, all such entries are
+walked at once.  A state is what the last few bytes allow, so the maps close after a few
+such steps, however long the word is.  A parallel prefix scan then composes them by doubling: after k steps an
+entry knows where it leads and how many tokens it emits over the next 2^k chunks.
 
 Defined results:
 
@@ -26,8 +31,8 @@ Defined results:
 * the strings of special tokens inside a text count one token each, as by the
   library's default;
 * rows are independent: repeated ids and rows just repeat;
-* texts of any length go through in slices of ``SLICE`` characters, cut between words
-  where there is white space;
+* texts of any length go through in slices of ``SLICE`` characters, cut before what the
+  library takes for white space, so never within a word; without any, a text stays whole;
 * an empty table gives an empty table; other columns stay out of the result.
 """
 
@@ -190,14 +195,19 @@ class Transducer:
             for cell in np.unique(state[lack].astype(np.int64) << 8 | byte[lack]).tolist():
                 fill(cell >> 8, cell & 255)
 
-    def _walk(self, symbols: np.ndarray, ends: np.ndarray, runs: np.ndarray, state: np.ndarray, count: np.ndarray, out: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Step all lanes through their columns where ``runs``; out[at] gets a word's count at its end."""
+    def _walk(self, symbols: np.ndarray, ends: np.ndarray, runs: np.ndarray, state: np.ndarray, out: np.ndarray, at: np.ndarray, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Step all lanes through their columns where ``runs``; out[at] gets a word's count at its end.
+
+        Returns the lanes' states and counts since then.  ``held`` are arrays of other
+        states in use; they are kept up to date, in place, if the tables start afresh.
+        """
+        count = np.zeros(len(state), np.int64)
         for j in range(symbols.shape[0]):
             go = np.flatnonzero(runs[j])
             if not len(go):
                 continue
             if len(self.states) > STATES:
-                state = self._afresh(state, go)
+                self._afresh([state, *held])
             byte, now, end = symbols[j, go], state[go], ends[j, go]
             mid, fin = ~end, end
             if mid.any():
@@ -212,16 +222,17 @@ class Transducer:
                 state[lanes], count[lanes] = self.start, 0
         return state, count
 
-    def _afresh(self, state: np.ndarray, go: np.ndarray) -> np.ndarray:
-        """Empty tables; the lanes' states are compiled into them again."""
-        keys = [self.states[s] for s in np.unique(state).tolist()]
-        old = {k: self.ids[k] for k in keys}
+    def _afresh(self, held: list[np.ndarray]) -> None:
+        """Empty tables; the states in ``held`` are compiled into them again."""
+        used = np.unique(np.concatenate(held))
+        keys = [self.states[s] for s in used.tolist()]
         bytes_ = np.flatnonzero(self.columns >= 0)
         self.clear()
         for b in bytes_.tolist():
             self.column(b)
-        moved = {old[k]: self._state(k) for k in keys}
-        return np.array([moved[s] for s in state.tolist()], np.int64)
+        moved = np.array([self._state(k) for k in keys], np.int64)
+        for states in held:
+            states[:] = moved[np.searchsorted(used, states)]
 
     def count_words(self, symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Tokens of each word of a byte stream; ``ends`` marks the last byte of each word."""
@@ -236,33 +247,72 @@ class Transducer:
         fold = lambda x, fill: np.concatenate([x, np.full(lanes * CHUNK - n, fill, x.dtype)]).reshape(lanes, CHUNK).T.copy()
         symbols, ends, word, real = fold(symbols, 0), fold(ends, False), fold(word, 0), fold(np.ones(n, bool), False)
         past = np.cumsum(ends, axis=0) - ends > 0  # beyond the chunk's first end of a word
-        constant = ends.any(axis=0)
+        head, through = real & ~past, ~ends.any(axis=0)  # the last chunk has an end, so all that are all head have a next one
         # the constant part of every chunk's map
-        state, count = self._walk(symbols, ends, real & past, np.full(lanes, self.start, np.int64), np.zeros(lanes, np.int64), out, word)
-        # composition: who is entered in a known state runs the part that depends on it
-        known, entered = constant.copy(), np.zeros(lanes, bool)
-        enter_state, enter_count = np.full(lanes, self.start, np.int64), np.zeros(lanes, np.int64)
-        head = real & ~past
-        while not entered.all():
-            ready = ~entered & np.concatenate([[True], known[:-1]])
-            # states are keys while tables may start afresh: carry both arrays through one walk
-            enter_state = np.where(ready, np.concatenate([[self.start], state[:-1]]), enter_state)
-            enter_count = np.where(ready, np.concatenate([[0], count[:-1]]), enter_count)
-            both = np.concatenate([enter_state, state])
-            both, after = self._walk_pair(symbols, ends, head & ready, both, enter_count, out, word)
-            passed = ready & ~constant
-            state = np.where(passed, both[:lanes], both[lanes:])
-            enter_state = both[:lanes]
-            count = np.where(passed, after, count)
-            entered |= ready
-            known |= passed
+        leave, since = self._walk(symbols, ends, real & past, np.full(lanes, self.start, np.int64), out, word, [])
+        after_known = np.concatenate([[True], ~through[:-1]])
+        known = np.flatnonzero(after_known)  # chunks whose entry state is known
+        enter = np.concatenate([[self.start], leave[:-1]])[known]
+        before = np.concatenate([[0], since[:-1]])[known]
+        like = np.arange(lanes)  # the first chunk with the same bytes: one map for all of them
+        to = np.flatnonzero(through)
+        if len(to):
+            _, first, same = np.unique(symbols[:, to], axis=1, return_index=True, return_inverse=True)
+            like[to] = to[first[same.ravel()]]
+        follows = np.unique(np.stack([like[to], like[to + 1]]), axis=1)
+        kind, entry, exit_, emitted = self._tabulate(symbols, ends, head, through, follows, like[known], enter)
+        # each chunk with the rows of its kind
+        order = np.argsort(kind, kind="stable")
+        low, high = (np.searchsorted(kind, like, side, sorter=order) for side in ("left", "right"))
+        chunk = np.repeat(np.arange(lanes), high - low)
+        row = order[np.arange(len(chunk)) + np.repeat(low - np.cumsum(high - low) + (high - low), high - low)]
+        entry, exit_, emitted = entry[row], exit_[row], emitted[row]
+        # the scan: each entry of the tables jumps over its chunk, then over two, four, ... of them
+        place = self._found(chunk, entry, known, enter)
+        jump = np.arange(len(chunk))
+        open_ = through[chunk]
+        jump[open_] = self._found(chunk, entry, chunk[open_] + 1, exit_[open_])
+        total = np.where(open_, emitted, 0)
+        while (further := jump[jump]).tolist() != jump.tolist():
+            total, jump = total + total[jump], further
+        out[word[0, known]] = before + total[place] + emitted[jump[place]]
         return out
 
-    def _walk_pair(self, symbols, ends, runs, both, count, out, at):
-        """_walk for the first half of ``both``, the second half only being kept up to date."""
-        wide = lambda x: np.concatenate([x, np.zeros_like(x)], axis=1)
-        state, count = self._walk(symbols, ends, wide(runs), both, np.concatenate([count, np.zeros_like(count)]), out, at)
-        return state, count[: len(count) // 2]
+    @staticmethod
+    def _found(chunk: np.ndarray, entry: np.ndarray, want_chunk: np.ndarray, want_entry: np.ndarray) -> np.ndarray:
+        """Where (chunk, entry) pairs stand in the tables; -1 where they don't."""
+        keys, want = chunk.astype(np.int64) << 32 | entry, want_chunk.astype(np.int64) << 32 | want_entry
+        order = np.argsort(keys)
+        at = np.minimum(np.searchsorted(keys, want, sorter=order), len(keys) - 1)
+        return np.where(keys[order[at]] == want, order[at], -1) if len(keys) else np.full(len(want), -1)
+
+    def _tabulate(self, symbols: np.ndarray, ends: np.ndarray, head: np.ndarray, through: np.ndarray, follows: np.ndarray, known: np.ndarray, enter: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The heads' maps at all states that reach them: (chunk, entry, exit, emitted) rows.
+
+        Chunks stand for all with the same bytes; ``follows`` has which comes after which.
+        ``enter``, the states known to reach ``known`` chunks, is kept up to date.
+        """
+        chunk = entry = exit_ = emitted = np.empty(0, np.int64)
+        before, after = follows
+        guess = np.full(len(before), self.start, np.int64)
+        if len(before):
+            guess, _ = self._walk(symbols[:, before], ends[:, before], head[:, before], guess, np.empty(0, np.int64), symbols[:, before], [enter])
+        new_chunk, new_entry = np.concatenate([known, after]), np.concatenate([enter, guess])
+        while True:
+            pairs = np.unique(np.stack([new_chunk, new_entry]), axis=1)
+            lack = self._found(chunk, entry, *pairs) < 0
+            new_chunk, new_entry = pairs[0, lack], pairs[1, lack].copy()
+            if not len(new_chunk):
+                return chunk, entry, exit_, emitted
+            last = np.full(len(new_chunk), -1, np.int64)
+            lane = np.broadcast_to(np.arange(len(new_chunk)), (len(symbols), len(new_chunk)))
+            cut = (x[:, new_chunk] for x in (symbols, ends, head))
+            left, count = self._walk(*cut, new_entry.copy(), last, lane, [new_entry, entry, exit_, enter])
+            chunk, entry = np.concatenate([chunk, new_chunk]), np.concatenate([entry, new_entry])
+            exit_, emitted = np.concatenate([exit_, left]), np.concatenate([emitted, np.where(through[new_chunk], count, last)])
+            low, high = np.searchsorted(before, new_chunk, "left"), np.searchsorted(before, new_chunk, "right")
+            next_ = np.arange((high - low).sum()) + np.repeat(low - np.cumsum(high - low) + (high - low), high - low)
+            new_chunk, new_entry = after[next_], np.repeat(left, high - low)
 
 
 class Counter:
@@ -272,6 +322,7 @@ class Counter:
         self.transducer = Transducer(path)
         self.classes = _classes()
         self.special = re.compile("|".join(map(re.escape, self.transducer.special)) or "(?!)")
+        self.space = re.compile(f"[{re.escape(''.join(map(chr, np.flatnonzero(self.classes == _SPACE).tolist())))}]")
 
     @staticmethod
     def normalised(text: str) -> str:
@@ -332,14 +383,12 @@ class Counter:
 
     def _slices(self, text: str) -> Iterator[str]:
         """Cut where white space is; a longer run without any stays whole."""
-        while len(text) > 2 * SLICE:
-            cut = re.search(r"\s", text[SLICE:])
-            if not cut:
-                break
-            yield self.normalised(text[: SLICE + cut.start()])
-            text = text[SLICE + cut.start() :]
-        if text:
-            yield self.normalised(text)
+        at = 0
+        while len(text) - at > 2 * SLICE and (cut := self.space.search(text, at + SLICE)):
+            yield self.normalised(text[at : cut.start()])
+            at = cut.start()
+        if at < len(text):
+            yield self.normalised(text[at:])
 
     def _add(self, parts: list[str], owner: list[int], total: np.ndarray) -> None:
         if not parts:
