@@ -65,7 +65,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     of = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     counts = [of(kind) for kind in pii.BASE]
-    return found.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
+    added = F.filter("spans", lambda s: ~s["base"])
+    more = lambda kind: F.size(F.filter(added, lambda s: s["kind"] == kind)).cast("long").alias(f"n_added_{kind}")
+    n_spans, n_added = F.size("spans").cast("long").alias("n_spans"), F.size(added).cast("long").alias("n_added")
+    return found.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"), n_spans, n_added, *map(more, pii.CANDIDATES))
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
