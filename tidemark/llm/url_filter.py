@@ -2,17 +2,23 @@
 
 Rules are ``host/path`` strings with a verdict; the longest that fits wins.  URLs
 that a rule decides are the labelled ones.  From all of them come the suffix
-statistics, how many URLs under a host suffix are allowed, in ``BUCKETS`` hashed
-buckets, so what reaches the driver and the tasks is bounded.  From a bounded
-sample, the ``max_train`` lowest by a hash of URL and id (only a little more than
-that many are ever sent to the driver), a histogram
-gradient-boosted forest is fitted on the driver with numpy.  Scoring is one pass
-over the URLs in Arrow batches; only id and URL are read, nothing is shuffled.
+statistics: how many URLs of each group in ``GROUPS``, the host's last label, its last two,
+the whole host, the path's first segment and the two together, are allowed.  They are
+counted in ``BUCKETS`` hashed buckets for each of ``FOLDS`` folds, so what reaches the driver
+and the tasks is bounded; a group seen nowhere has the value ``UNSEEN``.
+
+From a bounded sample, the ``max_train`` lowest by a hash of URL and id (only a little more
+than that many are ever sent to the driver), a histogram gradient-boosted forest is fitted
+on the driver with numpy.  An example's own fold is left out of its statistics, so that its
+label isn't among its features, and of one example in ``HIDE`` all statistics of the host
+are hidden, so that the forest learns what to say of hosts it has never seen.  Scoring is
+one pass over the URLs in Arrow batches; only id and URL are read, nothing is shuffled.
 
 Defined results:
 
 * null URL, or one without ``://``: host and path are empty, no rule fits, the
   forest judges the text there is;
+* a score of exactly one half is allowed;
 * no labelled URL at all: every URL without a rule is allowed; only one class: that one;
 * rows are independent: repeated ids, URLs and rows just repeat, and null ids stay;
 * URLs of any length are judged whole; only those up to ``MAX_URL`` characters are in
@@ -35,8 +41,13 @@ from .common import ascii_lower
 
 #: The rules of the contract; fixed values.
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
-BUCKETS, MAX_URL = 1024, 4096
-FEATURES = ["length", "host_length", "path_length", "depth", "digit_ratio", "entropy", "parameters", "hyphens", "host_labels", "suffix_rate", "suffix_weight"]
+#: Buckets of all groups, folds of the statistics, the value of a group never seen, one in so many examples hides its host's.
+BUCKETS, FOLDS, UNSEEN, HIDE, MAX_URL = 4096, 4, -1.0, 5, 4096
+GROUPS = ["label", "domain", "host", "segment", "label_segment"]
+#: Those of the host, which a new one lacks.
+OF_HOST = [GROUPS.index(g) for g in ("label", "domain", "host", "label_segment")]
+LEXICAL = ["length", "host_length", "path_length", "depth", "digit_ratio", "entropy", "parameters", "hyphens", "host_labels", "first_length", "second_length", "second_start", "last_digits"]
+FEATURES = [*LEXICAL, *(f"{g}_{x}" for g in GROUPS for x in ("rate", "weight"))]
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -57,14 +68,20 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> t
     return rule, verdict
 
 
-def bucket(host: Column) -> Column:
-    """Of the host's last label."""
-    return F.pmod(F.xxhash64(F.substring_index(host, ".", -1)), F.lit(BUCKETS)).cast("int")
+def buckets(host: Column, path: Column) -> Column:
+    """The bucket of each of GROUPS."""
+    label, segment = F.substring_index(host, ".", -1), F.get(F.split(path, "/"), F.lit(1))
+    values = [label, F.substring_index(host, ".", -2), host, segment, F.concat(label, F.lit("/"), segment)]
+    return F.array(*(F.pmod(F.xxhash64(F.lit(k), F.coalesce(v, F.lit(""))), F.lit(BUCKETS)).cast("int") for k, v in enumerate(values)))
 
 
-def features(urls: list[str], hosts: list[str], paths: list[str], buckets: np.ndarray, rate: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """One row of FEATURES for each URL."""
-    out = np.zeros((len(urls), len(FEATURES)))
+def fold(url: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit(3), url), F.lit(FOLDS)).cast("int")
+
+
+def lexical(urls: list[str], hosts: list[str], paths: list[str]) -> np.ndarray:
+    """One row of LEXICAL for each URL."""
+    out = np.zeros((len(urls), len(LEXICAL)))
     for i, (url, host, path) in enumerate(zip(urls, hosts, paths, strict=True)):
         data = np.frombuffer(url.encode("utf-8", "surrogatepass"), np.uint8)
         counts = np.bincount(data, minlength=1)
@@ -72,11 +89,40 @@ def features(urls: list[str], hosts: list[str], paths: list[str], buckets: np.nd
         digits = int(((data >= 48) & (data <= 57)).sum())
         query = url.partition("?")[2].partition("#")[0]
         parameters = query.count("&") + 1 if query else 0
-        out[i, :9] = len(url), len(host), len(path), sum(map(bool, path.split("/"))), digits / max(1, len(data)), -(share * np.log2(share)).sum(), parameters, url.count("-"), host.count(".") + bool(host)
-    out[:, 9], out[:, 10] = rate[buckets], weight[buckets]
+        _, first, second, *_ = [*path.split("/", 3), "", "", ""]
+        named = [x for x in path.split("/") if x]
+        last = named[-1] if named else ""
+        out[i] = (
+            len(url), len(host), len(path), len(named), digits / max(1, len(data)), -(share * np.log2(share)).sum(), parameters, url.count("-"), host.count(".") + bool(host),
+            len(first), len(second), ord(second[0]) if second else 0, sum(c.isdigit() for c in last),
+        )
     return out
 
 
+class Statistics:
+    """Allowed and all labelled URLs of each bucket, by fold."""
+
+    def __init__(self, counts: np.ndarray):
+        self.counts = counts  #: FOLDS x len(GROUPS) x BUCKETS x (all, allowed)
+        self.whole = self._features(counts.sum(axis=0))
+        self.without = [self._features(counts.sum(axis=0) - counts[f]) for f in range(FOLDS)]
+
+    @staticmethod
+    def _features(counts: np.ndarray) -> np.ndarray:
+        """Rate and weight of each bucket: len(GROUPS) x BUCKETS x 2."""
+        n, k = counts[..., 0].astype(float), counts[..., 1]
+        prior = k[0].sum() / max(1.0, n[0].sum())
+        return np.stack([np.where(n > 0, (k + 5 * prior) / (n + 5), UNSEEN), np.log1p(n)], axis=-1)
+
+    def of(self, buckets: np.ndarray, folds: np.ndarray | None = None, hidden: np.ndarray | None = None) -> np.ndarray:
+        """A row of rates and weights for each row of buckets, without its fold if ``folds`` are given."""
+        at = np.arange(len(GROUPS))
+        found = self.whole[at, buckets] if folds is None else np.stack(self.without)[folds[:, None], at, buckets]
+        if hidden is not None:
+            found[np.ix_(np.flatnonzero(hidden), OF_HOST)] = (UNSEEN, 0.0)
+        return found.reshape(len(buckets), -1)
+
+
 @dataclass
 class Forest:
     """Trees as arrays: at a node, ``feature`` below ``cut`` goes left; ``value`` is a leaf's log-odds."""
@@ -142,47 +188,54 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 4, bins: int
 
 @dataclass
 class Model:
-    rate: np.ndarray  #: smoothed share of allowed URLs of each suffix bucket
-    weight: np.ndarray  #: log of its labelled URLs
+    statistics: Statistics
     forest: Forest
 
+    def score(self, urls: list[str], hosts: list[str], paths: list[str], buckets: np.ndarray) -> np.ndarray:
+        """Probability of allow."""
+        x = np.concatenate([lexical(urls, hosts, paths), self.statistics.of(buckets)], axis=1)
+        return 1 / (1 + np.exp(-self.forest.odds(x)))
+
 
 def _parts(pages: DataFrame, id_col: str, url_col: str, rules: list[tuple[str, str]]) -> DataFrame:
     rows = pages.select(F.col(id_col).alias("__id"), F.coalesce(F.col(url_col), F.lit("")).alias("__url"))
     host, path = host_and_path(F.col("__url"))
     rows = rows.select("__id", "__url", host.alias("__host"), path.alias("__path"))
     rule, verdict = matching_rule(F.col("__host"), F.col("__path"), rules)
-    return rows.select("*", rule.alias("__rule"), verdict.alias("__said"), bucket(F.col("__host")).alias("__bucket"))
+    return rows.select("*", rule.alias("__rule"), verdict.alias("__said"), buckets(F.col("__host"), F.col("__path")).alias("__buckets"))
 
 
-def train(parts: DataFrame, max_train: int = 5_000) -> Model | None:
+def train(parts: DataFrame, max_train: int = 20_000) -> Model | None:
     """Fit on the URLs that a rule decides: statistics of all, trees on ``max_train`` of them."""
     labelled = parts.where(F.col("__said").isNotNull())
     good = (F.col("__said") == "allow").cast("int")
-    stats = labelled.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(good).alias("k")).collect()  # at most BUCKETS rows
-    if not stats:
+    each = labelled.select(fold(F.col("__url")).alias("f"), good.alias("y"), F.posexplode("__buckets").alias("g", "b"))
+    sums = each.groupBy("f", "g", "b").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("k")).collect()  # at most FOLDS * len(GROUPS) * BUCKETS rows
+    if not sums:
         return None
-    n, k = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in stats:
-        n[r["__bucket"]], k[r["__bucket"]] = r["n"], r["k"]
-    prior = k.sum() / n.sum()
-    rate, weight = (k + 10 * prior) / (n + 10), np.log1p(n)
-    short = labelled.where(F.char_length("__url") <= MAX_URL).select("__url", "__host", "__path", "__bucket", good.alias("y"), F.xxhash64("__url", "__id").alias("o"))
+    counts = np.zeros((FOLDS, len(GROUPS), BUCKETS, 2), np.int64)
+    for r in sums:
+        counts[r["f"], r["g"], r["b"]] = r["n"], r["k"]
+    statistics, (n, k) = Statistics(counts), counts[:, 0].sum(axis=(0, 1)).tolist()
+    short = labelled.where(F.char_length("__url") <= MAX_URL)
+    short = short.select("__url", "__host", "__path", "__buckets", fold(F.col("__url")).alias("f"), good.alias("y"), F.xxhash64("__url", "__id").alias("o"))
     # of a uniform hash so low a part that it holds hardly more rows than are wanted: only these go to the driver
-    part = min(1.0, (1.2 * max_train + 200) / n.sum())
+    part = min(1.0, (1.2 * max_train + 200) / n)
     low = short.where(F.shiftrightunsigned("o", 34) < int(part * (1 << 30)))
     sample = sorted(low.orderBy(F.shiftrightunsigned("o", 34), "o", "__url").limit(max_train).collect(), key=lambda r: (r["o"], r["__url"]))
     if not sample:
-        return Model(rate, weight, Forest(float(np.log((prior + 1e-9) / (1 - prior + 1e-9))), []))
-    x = features([r["__url"] for r in sample], [r["__host"] for r in sample], [r["__path"] for r in sample], np.array([r["__bucket"] for r in sample]), rate, weight)
-    return Model(rate, weight, fit(x, np.array([r["y"] for r in sample], float)))
+        return Model(statistics, Forest(float(np.log((k + 1e-9) / (n - k + 1e-9))), []))
+    hidden = np.array([r["o"] % HIDE == 0 for r in sample])
+    known = statistics.of(np.array([r["__buckets"] for r in sample]), np.array([r["f"] for r in sample]), hidden)
+    x = np.concatenate([lexical(*([r[c] for r in sample] for c in ("__url", "__host", "__path"))), known], axis=1)
+    return Model(statistics, fit(x, np.array([r["y"] for r in sample], float)))
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, max_train: int = 5_000, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, max_train: int = 20_000, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(id, host, path, rule, verdict, score) of each page; ``score`` is the forest's probability of allow."""
     parts = _parts(pages, id_col, url_col, rules)
     model = train(parts, max_train)
-    schema = StructType([*parts.schema, StructField("score", DoubleType())])
+    schema = StructType([*parts.drop("__buckets").schema, StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,9 +243,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, max_train: int
                 score = np.ones(batch.num_rows)
             else:
                 cols = [batch.column(c).to_pylist() for c in ("__url", "__host", "__path")]
-                x = features(*cols, batch.column("__bucket").to_numpy(), model.rate, model.weight)
-                score = 1 / (1 + np.exp(-model.forest.odds(x)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], schema.names)
+                score = model.score(*cols, batch.column("__buckets").flatten().to_numpy().reshape(-1, len(GROUPS)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in schema.names[:-1]), pa.array(score)], schema.names)
 
     scored = parts.mapInArrow(run, schema)
     verdict = F.coalesce("__said", F.when(F.col("score") >= 0.5, "allow").otherwise("block"))
