@@ -2,19 +2,21 @@
 
 DataFrame operations only.  One pass over the texts makes a narrow profile per
 document: counts and a hash per line.  The cross-document part works on the
-profile: distinct texts that hold a line are counted per host, lines above the
-host's limit are taken off, and documents with too little left are rejected.
+profile: the distinct documents that hold a line are counted per host, lines held by more
+than ``max_docs`` of them are taken off, and documents with too little left are rejected.
+The limit is a number, not a share, so a host's size alone changes nothing.
 
-Exact copies of a text count once for a line's frequency, so a document isn't
-rejected for having been copied.  A line or a host that a third of all rows
-share is counted by (host, line, text), which spreads over all tasks, before it
-is summed with map-side aggregation.
+A line or a host that a third of all rows share is counted by (host, line, document),
+which spreads over all tasks, before it is summed with map-side aggregation.
 
 Defined results:
 
 * null or empty text: no words, all counts 0, ``base_failed`` true;
 * null host: the same host as the empty string;
-* rows that share an id are told apart by their text; equal rows get equal results;
+* rows that share an id are one document when a line's documents are counted, as are rows
+  without an id; their results are told apart by their text; equal rows get equal results;
+* a line in exactly ``max_docs`` documents stays; a document left with exactly the fraction
+  ``min_left`` of its words stays;
 * texts of any length: windows are found by sorting packed (hash, position)
   words; where packing can't tell two windows apart, or positions don't fit, the
   document takes an exact path on full hashes;
@@ -94,12 +96,18 @@ def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     return found.select("__id", "__host", "__text", "n_words", "word_chars", "n_symbols", "n_dup_lines", repeated.alias("n_repeat_words"), "__lines")
 
 
-def frequent_lines(prof: DataFrame, min_texts: int, share: float) -> DataFrame:
-    """(__host, h) of lines in more than ``min_texts`` and more than ``share`` of a host's distinct texts."""
-    held = prof.select("__host", "__text", F.explode(F.array_distinct(F.transform("__lines", lambda x: x["h"]))).alias("h")).distinct()
-    lines = held.groupBy("__host", "h").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > min_texts)
-    hosts = prof.select("__host", "__text").distinct().groupBy("__host").agg(F.count(F.lit(1)).alias("__all"))
-    return lines.join(hosts, "__host").where(F.col("__n") > share * F.col("__all")).select("__host", "h")
+def frequent_lines(prof: DataFrame, max_docs: int) -> DataFrame:
+    """(__host, h) of lines in more than ``max_docs`` distinct documents of a host."""
+    held = prof.select("__host", "__id", F.explode(F.array_distinct(F.transform("__lines", lambda x: x["h"]))).alias("h")).distinct()
+    return held.groupBy("__host", "h").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_docs).select("__host", "h")
+
+
+def lines_gone(prof: DataFrame, max_docs: int) -> DataFrame:
+    """(__id, __text, __host, __pos, w) of each line that goes: its place among the lines with a word, and its words."""
+    every = prof.select("__id", "__text", "__host", F.posexplode("__lines").alias("__pos", "__line"))
+    every = every.select("__id", "__text", "__host", "__pos", F.col("__line.h").alias("h"), F.col("__line.w").alias("w"))
+    gone = every.join(frequent_lines(prof, max_docs), ["__host", "h"])
+    return gone.groupBy("__id", "__text", "__host", "__pos").agg(F.max("w").alias("w"))  # equal rows count once
 
 
 def judge(
@@ -107,21 +115,16 @@ def judge(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
-    min_texts: int = 50,
-    share: float = 0.05,
+    max_docs: int = 50,
     min_left: float = 0.3,
 ) -> DataFrame:
     """Counts and verdict of each document.
 
-    A line goes if more than ``min_texts`` distinct texts of the host, and more than
-    the fraction ``share`` of them, hold it.  A document is depleted, and rejected, if
-    fewer than ``min_left`` of its words are left.
+    A line goes if more than ``max_docs`` distinct documents of the host hold it.  A
+    document is depleted, and rejected, if fewer than ``min_left`` of its words are left.
     """
     prof = materialise(profile(docs, id_col, text_col, host_col), "profile")
-    every = prof.select("__id", "__text", "__host", F.posexplode("__lines").alias("__pos", "__line"))
-    every = every.select("__id", "__text", "__host", "__pos", F.col("__line.h").alias("h"), F.col("__line.w").alias("w"))
-    gone = every.join(frequent_lines(prof, min_texts, share), ["__host", "h"])
-    gone = gone.groupBy("__id", "__text", "__host", "__pos").agg(F.max("w").alias("w"))  # equal rows count once
+    gone = lines_gone(prof, max_docs)
     gone = gone.groupBy("__id", "__text", "__host").agg(F.sum("w").alias("__gone"))
     gone = gone.withColumnsRenamed({"__id": "__gid", "__text": "__gtext", "__host": "__ghost"})
     own = prof.drop("__lines")
@@ -131,3 +134,26 @@ def judge(
     depleted = F.col("n_words") - F.col("__gone") < min_left * F.col("n_words")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return all_.select(F.col("__id").alias(id_col), *counts, failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), F.col("__gone").cast("long").alias("n_words_in_frequent_lines"))
+
+
+def without_frequent_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = 50, min_left: float = 0.3
+) -> DataFrame:
+    """The documents that :func:`judge` keeps, without the lines that go; other columns and empty lines stay."""
+    prof = materialise(profile(docs, id_col, text_col, host_col), "profile")
+    at = lines_gone(prof, max_docs).groupBy("__id", "__text", "__host").agg(F.sum("w").alias("__gone"), F.sort_array(F.collect_list("__pos")).alias("__at"))
+    own = prof.select("__id", "__text", "__host", "n_words", "n_repeat_words").distinct()
+    at = at.withColumnsRenamed({"__id": "__gid", "__text": "__gtext", "__host": "__ghost"})
+    marked = own.join(at, own["__id"].eqNullSafe(at["__gid"]) & (own["__text"] == at["__gtext"]) & (own["__host"] == at["__ghost"]), "left")
+    n, gone = F.col("n_words"), F.coalesce("__gone", F.lit(0))
+    good = marked.where(~((n < 50) | (100 * F.col("n_repeat_words") > 50 * n)) & ~(n - gone < min_left * n)).select("__id", "__text", "__host", "__at")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("__rid"), whole(host_col).alias("__rhost"), text_hash(whole(text_col)).alias("__rtext"))
+    kept = rows.join(good, F.col("__rid").eqNullSafe(F.col("__id")) & (F.col("__rtext") == F.col("__text")) & (F.col("__rhost") == F.col("__host")))
+    # lines with a word are numbered; a run of lines between two that go stays as it is
+    lines = kept.select("row", F.coalesce("__at", F.array().cast("array<int>")).alias("__at"), F.split(whole(F.col(f"row.`{text_col}`")), "\n").alias("__lines"))
+    full = F.filter(F.transform("__lines", lambda x, k: F.when(F.char_length(F.btrim(x, F.lit(SPACES))) > 0, k)), lambda k: k.isNotNull())
+    lines = lines.withColumn("__full", full).withColumn("__out", F.transform("__at", lambda p: F.get("__full", p)))
+    ends = F.arrays_zip(F.concat(F.array(F.lit(-1)), "__out").alias("after"), F.concat("__out", F.array(F.size("__lines"))).alias("before"))
+    runs = F.transform(ends, lambda e: F.slice("__lines", e["after"] + 2, e["before"] - e["after"] - 1))
+    text = F.when(F.size("__at") == 0, F.col(f"row.`{text_col}`")).otherwise(F.array_join(F.flatten(runs), "\n"))
+    return lines.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -122,14 +122,11 @@ c AS (
   SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words
   FROM r, (SELECT unnest([0, 1, 2]) AS j) WHERE c > 1 GROUP BY doc_id),
 l AS (
-  SELECT doc_id, host, text, pos, line,
+  SELECT doc_id, host, pos, line,
          translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS h
-  FROM (SELECT doc_id, host, text, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM t)),
-n AS (SELECT host, count(DISTINCT text) AS n FROM t GROUP BY host),
-f AS (
-  SELECT l.host, l.h FROM l JOIN n ON l.host = n.host GROUP BY l.host, l.h, n.n
-  HAVING count(DISTINCT l.text) > 50 AND count(DISTINCT l.text) > 0.05 * n.n),
+  FROM (SELECT doc_id, host, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM t)),
+f AS (SELECT host, h FROM l GROUP BY host, h HAVING count(DISTINCT doc_id) > 50),
 g AS (
   SELECT l.doc_id, sum(len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS gone
   FROM l JOIN f ON l.host = f.host AND l.h = f.h GROUP BY l.doc_id),
