@@ -62,7 +62,38 @@ def test_bitmaps_mark_the_dropped_lines(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["__id"]: r for r in line_dedup.keep_bitmaps(df).collect()}
     assert sorted(got) == [0, 1, 2] and all(r["__dropped"] == 2 for r in got.values())
-    assert got[0]["__bitmap"] == [1, 0, 1 << (131 - 128)]
+    assert [tuple(x) for x in got[0]["__bitmap"]] == [(0, 1), (2, 1 << (131 - 128))]  # words without a line that goes are left out
+    words = line_dedup.keep_bitmaps(df).select(line_dedup.dense(F.col("__bitmap"))).collect()
+    assert all(r[0] == [1, 0, 1 << (131 - 128)] for r in words)
+
+
+def test_two_million_lines(spark):
+    """Time and memory in proportion: every third line is shared, all others short."""
+    text = "\n".join("a line that all three documents share" if i % 3 == 0 else "x" for i in range(2_000_000))
+    df = spark.createDataFrame([(i, text + "\n" + str(i)) for i in range(3)], "doc_id long, text string")
+    got = {r["row"]["doc_id"]: r for r in line_dedup.with_bitmaps(df, line_dedup.keep_bitmaps(df)).select("row", "lines.n_lines", "lines.n_dropped", F.length("lines.kept").alias("n")).collect()}
+    shared = len(range(0, 2_000_000, 3))
+    assert [(got[i]["n_lines"], got[i]["n_dropped"]) for i in range(3)] == [(2_000_001, shared), (2_000_001, shared), (2_000_001, 0)]
+    assert got[0]["n"] == 2 * (2_000_000 - shared) + 1 and got[2]["n"] == len(text) + 2
+
+
+def test_texts_that_lose_nothing_are_not_shuffled(spark):
+    texts = ["one line that is long enough to be shared\nown"] * 3 + [f"a text of its own with number {i}" for i in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = df.select(F.struct("*").alias("row"), F.col("doc_id").alias("__rid"), line_dedup.text_hash(F.col("text")).alias("__rtext"))
+    marks = line_dedup.keep_bitmaps(df).withColumnsRenamed({"__id": "__bid", "__text": "__btext"})
+    maybe = [r["row"]["doc_id"] for r in line_dedup._maybe_in(rows, marks).where("__maybe").collect()]
+    assert {0, 1} <= set(maybe) and len(maybe) < 10
+
+
+def test_null_ids_are_one_document_in_any_block(spark):
+    line = "a line that is long enough to be shared"
+    rows = [(None, f"{line}\n{i}") for i in range(50)] + [(7, line)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).where(F.col("text").startswith(line)).count()
+    assert got == 51  # two documents: the one without an id, and 7
+    rows += [(8, line)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).where(F.col("text").startswith(line)).collect()
+    assert [r["doc_id"] for r in got] == [8]
 
 
 def test_empty_table(spark):
