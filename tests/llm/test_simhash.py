@@ -71,6 +71,23 @@ def test_links_connect_exactly_what_is_near(spark, monkeypatch):
         assert {n: found.get(n, n) for n in nodes} == want
 
 
+def test_the_tally_drops_pairs_before_they_are_verified(monkeypatch):
+    """Entries of one list share three bytes; only those that share a fourth are verified."""
+    import pyarrow as pa
+
+    random.seed(8)
+    fp = [random.getrandbits(38) << 24 | 0x010203 for _ in range(400)] + [5 << 40 | 0x010203, 7 << 40 | 0x010203]
+    tallied, verified = [], []
+    tally, verify = simhash._tally, simhash._verified
+    monkeypatch.setattr(simhash, "_tally", lambda o, a, b: tallied.append(len(a)) or tally(o, a, b))
+    monkeypatch.setattr(simhash, "_verified", lambda f, a, b: verified.append(len(a)) or verify(f, a, b))
+    zero = [0] * len(fp)
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zero, zero, zero, zero, fp)], ["list", "one", "two", "block", "fp"])
+    edges = [e for b in simhash._linked([batch]) for e in b.to_pylist()]
+    assert {5 << 40 | 0x010203, 7 << 40 | 0x010203} in [set(e.values()) for e in edges]
+    assert sum(tallied) == 402 * 401 // 2 and sum(verified) < 0.05 * sum(tallied)
+
+
 def test_long_path(spark):
     n = 300
     order = list(range(n))

@@ -5,11 +5,13 @@ four bits share at least four of the eight, the guaranteed minimum.  Lists of th
 index are keyed by three positions and their bytes; the twenty triples in
 ``TRIPLES`` are such that any four positions contain one of them, so each linked
 pair meets in some list.  Within a list, shared positional bytes are tallied for
-each pair, pairs with fewer than four are dropped, and the rest are verified by
+each pair, pairs with fewer than four are dropped, and only the rest are verified by
 counting the differing bits.
 
 Equal fingerprints are one entry of the index, however many texts have them.  A
-list of more than ``LIST`` entries is dealt into blocks, and each pair of blocks is
+list of more than ``LIST`` entries is replaced by longer ones: since a linked pair shares a
+fourth byte too, its entries go to one list for each of the other five positions.  Of
+these, one that still is too long is dealt into blocks, and each pair of blocks is
 a list of its own, so no task holds more than two blocks and no pair is missed.
 What leaves a list isn't its pairs but one edge per entry to the first of its
 component there, which keeps all that is reachable.  Components of the edges are
@@ -114,29 +116,37 @@ def _key(t: int) -> Column:
     return key
 
 
+def _tally(octets: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Positional bytes that the entries ``at`` and ``to`` share."""
+    return (octets[at] == octets[to]).sum(axis=1)
+
+
+def _verified(fp: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Whether the entries differ in at most DISTANCE bits."""
+    return np.bitwise_count((fp[at] ^ fp[to]).view(np.uint64)) <= DISTANCE
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (list, one, two, block, fp), list by list, to edges within the lists."""
 
     def edges(lists: np.ndarray, cross: np.ndarray, block: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
         n = len(fp)
         left = np.searchsorted(lists, lists, "right") - np.arange(n)  # entries from here to the end of the list
-        root = np.arange(n)
+        root, octets = np.arange(n), fp.view(np.uint8).reshape(-1, 8)
         at, far = np.flatnonzero(left > 1), 1
         while len(at):
             to = at + far
-            differ = (fp[at] ^ fp[to]).view(np.uint64)
-            tally = (differ.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)  # shared positional bytes
-            near = (tally >= SHARED) & (np.bitwise_count(differ) <= DISTANCE) & (~cross[at] | (block[at] != block[to]))
-            new = near & (root[at] != root[to])
-            if new.any():
-                for i, j in zip(at[new].tolist(), to[new].tolist(), strict=True):
-                    while root[i] != i:
-                        i = root[i]
-                    while root[j] != j:
-                        j = root[j]
-                    root[max(i, j)] = min(i, j)
-                while (up := root[root]).tolist() != root.tolist():
-                    root = up
+            fits = (_tally(octets, at, to) >= SHARED) & (~cross[at] | (block[at] != block[to])) & (root[at] != root[to])
+            one, other = at[fits], to[fits]
+            near = _verified(fp, one, other)
+            for i, j in zip(one[near].tolist(), other[near].tolist(), strict=True):
+                while root[i] != i:
+                    i = root[i]
+                while root[j] != j:
+                    j = root[j]
+                root[max(i, j)] = min(i, j)
+            while near.any() and not np.array_equal(up := root[root], root):
+                root = up
             far += 1
             at = at[left[at] > far]
         moved = np.flatnonzero(root != np.arange(n))
@@ -166,9 +176,15 @@ def _numbered(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
 def links(fps: DataFrame) -> DataFrame:
     """Distinct fingerprints (fp) to edges (a, b) that connect all within DISTANCE bits."""
     lists = fps.select("fp", F.explode(F.array(*(_key(t) for t in range(len(TRIPLES))))).alias("list"))
-    sizes = lists.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    sizes = materialise(sizes.select("list", F.ceil(F.col("n") / LIST).cast("int").alias("blocks")), "lists")
-    shared = lists.join(sizes, "list").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    sizes = materialise(lists.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "lists")
+    shared = lists.join(sizes, "list")
+    rest = F.array(*(F.array(*(F.lit(p) for p in range(8) if p not in t)) for t in TRIPLES))
+    longer = shared.where(F.col("n") > LIST).select("fp", "list", F.explode(F.element_at(rest, (F.shiftright("list", 24) + 1).cast("int"))).alias("p"))
+    longer = longer.select("fp", F.expr(f"((list << 3 | p) << 8 | (shiftright(fp, 8 * p) & 255)) | {1 << 48}L").alias("list"))  # a fourth position and its byte
+    more = longer.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    more = materialise(more.select("list", F.ceil(F.col("n") / LIST).cast("int").alias("blocks")), "lists")
+    shared = shared.where(F.col("n") <= LIST).select("list", "fp", F.lit(1).alias("blocks")).unionByName(longer.join(more, "list"))
+    shared = shared.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     pairs = shared.select("list", "fp", "block", other)
     pairs = pairs.select("list", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "fp")
