@@ -56,12 +56,25 @@ def test_lines(kept):
 
 
 def test_near_duplicates(kept):
+    """Five words and a similarity of 0.8, by brute force over all pairs; the one with the smallest id of each group stays."""
+    from tests.llm.test_resemblance import near, plain_set
+
+    sets = {r["doc_id"]: plain_set(r["text"]) for r in kept[2]}
+    group = brute_components(sorted(sets), lambda a, b: near(sets[a], sets[b]))
+    assert sorted(r["doc_id"] for r in kept[3]) == sorted(set(group.values()))
+
+
+def test_four_bits_of_a_fingerprint(spark, kept):
+    """op4's own rule on the same documents, through its own operator."""
+    from tidemark.llm import simhash
+
     prints = {r["doc_id"]: plain(r["text"]) for r in kept[2]}
     group = brute_components(sorted(set(prints.values())), lambda a, b: bin(a ^ b).count("1") <= 4)
     low = {}
     for i, p in prints.items():
         low[group[p]] = min(low.get(group[p], i), i)
-    assert sorted(r["doc_id"] for r in kept[3]) == sorted(low.values())
+    docs = spark.createDataFrame([(r["doc_id"], r["text"]) for r in kept[2]], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == sorted(low.values())
 
 
 def test_mixing(kept):
