@@ -3,7 +3,9 @@
 Every round links neighbours to the smallest node known around them; a path of n
 nodes is a star after O(log n) rounds.  All steps are aggregations and joins; a
 node with very many neighbours costs a partial aggregation and a join whose sides
-are both plain shuffles, so that its partition can be split.
+are both plain shuffles, so that its partition can be split.  A round works in tasks of
+about ``ROWS`` edges, and in ``TASKS`` of them at least: few edges aren't spread over as many
+tasks and files as the texts need.
 """
 
 from __future__ import annotations
@@ -15,6 +17,10 @@ from ..scratch import discard
 from .common import materialise
 
 
+#: Edges of a task, and the fewest tasks of a round.
+ROWS, TASKS = 200_000, 12
+
+
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").bitwiseAND(F.lit((1 << 31) - 1)))).first())
 
@@ -25,14 +31,14 @@ def components(edges: DataFrame) -> DataFrame:
     plain = materialise(plain, "edges")
     last = None
     while (now := _mark(plain)) != last:
-        last = now
+        last, tasks = now, max(TASKS, now[0] // ROWS)
         both = plain.unionByName(plain.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        around = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
+        around = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")).coalesce(tasks), "least")
         large = both.join(around, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = materialise(large, "large")
-        below = materialise(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        large = materialise(large.coalesce(tasks), "large")
+        below = materialise(large.groupBy("a").agg(F.min("b").alias("m")).coalesce(tasks), "least")
         small = large.join(below, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = materialise(small.unionByName(below.select("a", F.col("m").alias("b"))).distinct(), "small")
+        small = materialise(small.unionByName(below.select("a", F.col("m").alias("b"))).distinct().coalesce(tasks), "small")
         discard(plain, around, large, below)  # a round needs only what the one before has written
         plain = small
     return plain.select(F.col("a").alias("node"), F.col("b").alias("root"))
