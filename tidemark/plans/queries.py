@@ -652,3 +652,140 @@ FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY ALL
 def filtered_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _t(spark, sf_dir, "lineitem").where(F.col("l_shipdate") <= F.lit("1998-09-02").cast("timestamp_ntz"))
     return rows.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
+
+
+# -- the inspector, filters and edge cases ------------------------------------------------
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 1 THEN c_name END AS c_name FROM customer""")
+def all_null_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose values are all null are rows like any other."""
+    table = _new(spark, "nulls", "c_custkey")
+    rows = _t(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_custkey") % 2 == 1, F.col("c_name")).alias("c_name"))
+    table.upsert(rows.withColumn("_one", F.lit(1)), "_one")
+    return table.read().select("c_custkey", "c_name")
+
+
+@query("""SELECT c_custkey, c_name FROM customer WHERE c_custkey % 2 = 1""")
+def all_null_is_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the option, an upsert of nothing but nulls deletes what was there."""
+    table = _new(spark, "nulls", "c_custkey", **{"all-null-is-delete": "true"})
+    rows = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", F.lit(1).alias("_one"))
+    table.upsert(rows, "_one")
+    table.upsert(rows.where("c_custkey % 2 = 0").withColumn("c_name", F.lit(None).cast("string")), "_one")
+    return table.read().select("c_custkey", "c_name")
+
+
+@query("""SELECT CAST(2 AS BIGINT) AS snapshot, true AS readable UNION ALL SELECT 99, false UNION ALL SELECT 0, false""")
+def missing_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot that isn't there is an error, not an empty table."""
+    table, found = _two_commits(spark, sf_dir), []
+    for id in (2, 99, 0):
+        try:
+            table.read(id)
+            found.append((id, True))
+        except LookupError:
+            found.append((id, False))
+    return spark.createDataFrame(found, "snapshot long, readable boolean")
+
+
+@query("""
+SELECT o.o_orderkey, c.c_name FROM orders o LEFT JOIN customer c ON c.c_custkey = CASE WHEN o.o_orderkey % 3 > 0 THEN o.o_custkey END
+""")
+def null_lookup_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null key matches nothing."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_custkey")).alias("k"))
+    return Lookup(_customers(spark, sf_dir)).join(orders, {"c_custkey": "k"}, ["c_name"]).select("o_orderkey", "c_name")
+
+
+@query("""SELECT c_nationkey, c_name FROM customer WHERE c_nationkey = 3 AND c_name > 'Customer#000000100' ORDER BY 1, 2 LIMIT 11""")
+def filtered_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filter comes before the limit: a full page, if there are as many rows."""
+    table = _customers(spark, sf_dir, "c_nationkey,c_name", bucket=1)
+    return page(table, 10, start_after={"c_nationkey": 3, "c_name": "Customer#000000100"}, prefix={"c_nationkey": "3"}).select("c_nationkey", "c_name")
+
+
+@query("""
+SELECT user_id, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS total FROM events WHERE event_type IN ('view', 'click', 'error') GROUP BY user_id
+""")
+def accumulator_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accumulators of two namespaces merged into a third's: counts and sums, not results."""
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("total"))
+    add = lambda a, x: F.struct((a["n"] + 1).alias("n"), (a["total"] + x).alias("total"))
+    states = ks.aggregating_state(_t(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id", F.col("event_id"), zero, add, lambda a: a["total"])
+    merge = lambda a, b: F.struct((a["n"] + b["n"]).alias("n"), (a["total"] + b["total"]).alias("total"))
+    merged = ks.merge_namespaces(states, ["user_id"], "event_type", ["click", "error"], "view", merge, "accumulator")
+    return merged.where("event_type = 'view'").select("user_id", "accumulator.n", "accumulator.total")
+
+
+@query("""
+WITH s AS (SELECT user_id, event_type, max(ts) AS written FROM events GROUP BY ALL)
+SELECT user_id, event_type, written FROM s WHERE written + INTERVAL 86400 SECOND > (SELECT max(ts) FROM events)
+""")
+def time_to_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State not written for a day is gone."""
+    rows = _t(spark, sf_dir, "events")
+    now = F.lit(rows.agg(F.max("ts")).first()[0]).cast("timestamp_ntz")
+    return ks.unexpired(rows.groupBy("user_id", "event_type").agg(F.max("ts").alias("written")), "written", 86_400, now)
+
+
+@query("""SELECT 'table' AS kind, CAST(2 AS BIGINT) AS reading, CAST(8 AS BIGINT) AS buckets, 'user_id' AS primary_key, 'table:TABLE' AS targets, true AS follows_latest""")
+def inspected_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the inspector says of a table."""
+    from .inspect import Inspector
+
+    meta = Inspector.open(spark, _two_commits(spark, sf_dir).root).meta()
+    named = ",".join(f"{t['id']}:{t['kind']}" for t in meta["targets"])
+    row = (meta["kind"], meta["reading"], meta["buckets"], ",".join(meta["primary_key"]), named, meta["follows_latest"])
+    return spark.createDataFrame([row], "kind string, reading long, buckets long, primary_key string, targets string, follows_latest boolean")
+
+
+@query("""
+SELECT user_id, max(event_id) AS event_id, CAST(1 AS BIGINT) AS reading FROM events WHERE ts < TIMESTAMP '2024-01-16' GROUP BY user_id
+UNION ALL SELECT user_id, max(event_id), 2 FROM events GROUP BY user_id
+""")
+def inspected_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inspector pinned to the first snapshot, then following the newest."""
+    from .inspect import Inspector
+
+    inspector = Inspector.open(spark, _two_commits(spark, sf_dir).root, snapshot=1)
+    first = inspector.rows().select("user_id", "event_id", F.lit(inspector.reading).cast("long").alias("reading"))
+    inspector.set_snapshot(None)
+    return first.unionByName(inspector.rows().select("user_id", "event_id", F.lit(inspector.reading).cast("long").alias("reading")))
+
+
+@query("""SELECT user_id, arg_max(value, event_id) AS value FROM events WHERE user_id = 5 GROUP BY user_id""")
+def inspected_state_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key of a value state: only its partition is read."""
+    from .inspect import Inspector
+
+    rows = Inspector.open(spark, _value_checkpoint(spark, sf_dir)).rows("value", key={"user_id": "5"})
+    return rows.select("state_key.user_id", "value.value")
+
+
+@query("""SELECT user_id, max(event_id) AS last_event FROM events WHERE event_type = 'click' GROUP BY user_id""")
+def inspected_map_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One entry of every key's map."""
+    from pyspark.sql.types import StringType
+
+    from .inspect import Inspector
+
+    fold = st.MapPut("event_id", "event_type", "event_id", StringType(), LongType())
+    at = _finished(st.run(_events_stream(spark, sf_dir), ["user_id"], fold, "user_id long, touched long"), spark)
+    return Inspector.open(spark, at).rows("map", map_key="click").select("state_key.user_id", F.col("map_value.value").alias("last_event"))
+
+
+@query("""
+WITH t AS (SELECT user_id, CAST(epoch_us(ts) // 1000 + 864000000000 AS BIGINT) AS timestamp_ms FROM events)
+SELECT * FROM t WHERE starts_with(CAST(user_id AS VARCHAR), '1') OR starts_with(CAST(timestamp_ms AS VARCHAR), '1')
+""")
+def inspected_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timers whose key or time starts with a text."""
+    from .inspect import Inspector
+
+    stream = _events_stream(spark, sf_dir).withColumn("time", F.col("ts").cast("timestamp")).withWatermark("time", "1 minute")
+    stream = stream.withColumn("at", F.unix_millis("time") + F.lit(864_000_000_000).cast("long")).select("event_id", "user_id", "time", "at")
+    at = _finished(st.run(stream, ["user_id"], st.Timers("event_id", "at"), "user_id long, fired long", "eventTime"), spark)
+    inspector = Inspector.open(spark, at)
+    timer = next(t.id for t in inspector.targets() if t.kind == "TIMER")
+    return inspector.rows(timer, timer_prefix="1").select("state_key.user_id", "timestamp_ms")
