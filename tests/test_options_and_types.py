@@ -83,3 +83,17 @@ def test_display(spark):
     assert [r["json"] for r in as_json(df.select("n", "s", "d")).collect()] == ['{"n":9007199254740991,"s":"a\\"b","d":null}', '{"n":"9007199254740992","s":"ü","d":1.5}']
     assert shown(df.select("b")).collect()[0]["b"] == '{"b64":"aGk=","utf8":"hi"}'
     assert df.select(typed.guarded_long(F.col("n")).alias("x")).collect()[1]["x"] == '"9007199254740992"'
+
+
+def test_a_cluster_needs_a_shared_scratch_folder(spark, monkeypatch):
+    """A local temporary folder is for one machine alone."""
+    from types import SimpleNamespace
+
+    from tidemark import scratch
+
+    nowhere = lambda master: SimpleNamespace(sparkContext=SimpleNamespace(applicationId=f"app-{master}", master=master, getConf=lambda: SimpleNamespace(get=lambda k, d: d), getCheckpointDir=lambda: None, setCheckpointDir=lambda p: None))
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch.scratch_root(nowhere(master))
+    monkeypatch.setattr(scratch.atexit, "register", lambda *a: None)
+    assert scratch.scratch_root(nowhere("local[4]")).startswith("file://")

@@ -142,5 +142,5 @@ def fired_timers(timers: DataFrame, key: list[str], at: str, watermark: Column,
 
 def sessions(df: DataFrame, key: list[str], time: str, gap: str, *aggregates: Column) -> DataFrame:
     """Merged windows: rows of a key not further apart than the gap."""
-    window = F.session_window(time, gap)
-    return df.groupBy(*key, window.alias("w")).agg(*aggregates).select(*key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), *[c for c in df.groupBy(*key, window.alias("w")).agg(*aggregates).columns if c not in (*key, "w")])
+    merged = df.groupBy(*key, F.session_window(time, gap).alias("w")).agg(*aggregates)
+    return merged.select(*key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), *[c for c in merged.columns if c not in (*key, "w")])

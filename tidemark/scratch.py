@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -14,13 +15,16 @@ _roots: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     """A folder of this application's own below ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests on one machine, a local temporary folder
-    is used instead.  The folder goes when the driver's Python ends.
+    Only where that is unset and the master is one machine, as in tests, a local temporary
+    folder is used instead; on a cluster it is an error.  The folder goes when the driver's
+    Python ends.
     """
     sc = spark.sparkContext
     if sc.applicationId not in _roots:
         base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
         if not base:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise ValueError(f"Set spark.checkpoint.dir to a folder that all machines of {sc.master} share")
             base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
             sc.setCheckpointDir(base)
         _roots[sc.applicationId] = f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
