@@ -3,7 +3,7 @@
 import time
 
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -378,3 +378,22 @@ def test_inspector_over_a_table(spark, tmp_path):
     table.log.files.write("snapshot/SNAPSHOT-3.json", "{broken")
     assert seen.refresh() is None or seen.reading == 2
     assert seen.reading == 2 and seen.problems
+
+
+def test_following_changes_goes_on_after_a_restart(spark, tmp_path):
+    table, at, got = table_of(spark, tmp_path), scratch_path(spark, "ck"), []
+
+    def sink(rows, i):
+        if i == 2 and len(got) == 1:
+            got.append("failed")
+            raise RuntimeError("sink")
+        got.append((i, sorted((r["_op"], r["k"]) for r in rows.collect())))
+
+    table.upsert(numbers(spark, 0, 3).withColumnRenamed("seq", "_s"), "_s")
+    follow(table, sink, at, emit="changes", poll_ms=None).awaitTermination()
+    table.upsert(spark.createDataFrame([(0, 1, 9.0, "-D"), (3, 1, 9.0, "+I")], "k long, _s int, v double, kind string"), "_s", "kind")
+    with pytest.raises(StreamingQueryException):
+        follow(table, sink, at, emit="changes", poll_ms=None).awaitTermination()
+    follow(table, sink, at, emit="changes", poll_ms=None).awaitTermination()
+    follow(table, sink, at, emit="changes", poll_ms=None).awaitTermination()
+    assert got == [(1, [("+I", 0), ("+I", 1), ("+I", 2)]), "failed", (2, [("+I", 3), ("-D", 0)])]

@@ -1,10 +1,13 @@
 """Upserts, snapshots, retention and what they refuse."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.options import OptionError, TableOptions
+from tidemark.sources.fs import Files
 from tidemark.sources.kind import detect_kind
 from tidemark.sources.snapshots import SnapshotMissing
 from tidemark.sources.table import KeyedTable, snapshot_diff
@@ -175,3 +178,63 @@ def test_kinds(spark, tmp_path):
     assert detect_kind(spark, str(tmp_path / "c")) == "state"
     with pytest.raises(OptionError, match="streaming state"):
         detect_kind(spark, str(tmp_path / "c"), "sink")
+
+
+def test_one_of_many_writers_of_a_name_succeeds(spark, tmp_path):
+    files = Files(spark, f"file://{tmp_path}/f")
+
+    def attempt(i):
+        try:
+            files.write("x/name", str(i))
+            return i
+        except FileExistsError:
+            return None
+
+    with ThreadPoolExecutor(16) as pool:
+        won = [i for i in pool.map(attempt, range(64)) if i is not None]
+    assert len(won) == 1 and files.read("x/name") == str(won[0])
+    assert files.names("x") == ["name"]
+
+
+def test_a_writer_that_comes_late_commits_onto_the_other(spark, tmp_path):
+    a, b = new(spark, tmp_path / "t"), new(spark, tmp_path / "t")
+    put(spark, a, (1, "a", 1, 1, "+I"), (2, "a", 2, 1, "+I"))
+    commit = b.log.commit
+
+    def late(snapshot):
+        b.log.commit = commit
+        put(spark, a, (2, "faster", 20, 1, "+U"), (3, "faster", 30, 1, "+I"), batch=("a", 0))
+        commit(snapshot)
+
+    b.log.commit = late
+    assert put(spark, b, (2, "later", 200, 1, "+U"), (4, "later", 40, 1, "+I"), batch=("b", 7)).id == 3
+    assert read(a) == [(1, "a", 1), (2, "later", 200), (3, "faster", 30), (4, "later", 40)]
+    assert a.log.load().batches == {"a": 0, "b": 7}
+    listed = {f for i in a.log.ids() for fs in a.log.load(i).files.values() for f in fs}
+    assert {p for p, _ in a.log.files.walk("data") if p.endswith(".parquet")} == listed  # nothing of the first try
+
+
+def test_writers_at_once_lose_nothing(spark, tmp_path):
+    def write(w):
+        table = new(spark, tmp_path / "t", retention=1)
+        for n in range(2):
+            put(spark, table, (10 * w + n, f"w{w}", n, 1, "+I"))
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(write, range(3)))
+    table = new(spark, tmp_path / "t")
+    assert read(table) == [(10 * w + n, f"w{w}", n) for w in range(3) for n in range(2)]
+    assert table.log.ids() == [6]
+
+
+def test_readers_of_a_dropped_snapshot_have_time(spark, tmp_path):
+    table = new(spark, tmp_path / "t", retention=1)
+    put(spark, table, (1, "a", 1, 1, "+I"))
+    rows = table.read()
+    put(spark, table, (1, "b", 2, 1, "+U"))
+    assert table.log.ids() == [2] and [tuple(r) for r in rows.collect()] == [(1, "a", 1)]
+    table.log.vacuum()
+    assert rows.count() == 1
+    table.log.prune(1, 0)
+    assert {p for p, _ in table.log.files.walk("data") if p.endswith(".parquet")} == {f for fs in table.log.load().files.values() for f in fs}
+    assert read(table) == [(1, "b", 2)] and not [n for n in table.log.files.names("snapshot") if n.startswith("DROPPED")]

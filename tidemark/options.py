@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 #: Options that tune another engine's memory: accepted, checked and without effect here.
 MEMORY_OPTIONS = {"sink.writer-buffer-memory": "256mb", "sink.use-managed-memory-allocator": "false", "source.block-cache-memory": "0"}
 _KNOWN = {
-    "path", "primary-key", "bucket", "sink.parallelism", "snapshot.retention", "scan.mode", "scan.checkpoint-id", "scan.poll-interval-ms",
+    "path", "primary-key", "bucket", "sink.parallelism", "snapshot.retention", "snapshot.grace-ms", "scan.mode", "scan.checkpoint-id", "scan.poll-interval-ms",
     "source.kind", "state.name", "state.kind", "state.operator-id", "all-null-is-delete", *MEMORY_OPTIONS,
 }
 _UNITS = {"": 1, "b": 1, "kb": 1 << 10, "mb": 1 << 20, "gb": 1 << 30}
@@ -80,6 +80,7 @@ class TableOptions:
     state_kind: str | None = None
     state_operator: str | None = None
     all_null_is_delete: bool = False
+    grace_ms: int = 600_000  #: how long files of dropped snapshots stay for their readers
     ignored: dict[str, str] = field(default_factory=dict)
 
     @staticmethod
@@ -117,5 +118,6 @@ class TableOptions:
             given.get("state.kind"),
             given.get("state.operator-id"),
             str(given.get("all-null-is-delete", "false")).lower() == "true",
+            _number(given, "snapshot.grace-ms", 600_000, 0),
             {k: str(given[k]) for k in MEMORY_OPTIONS if k in given},
         )

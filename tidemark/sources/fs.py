@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+#: Stores whose files appear when closed and which can refuse to replace one; a rename there copies.
+CONDITIONAL_PUT = ("s3a", "gs")
+
 
 class Files:
     """Reads and writes the metadata files below one root."""
@@ -46,21 +51,46 @@ class Files:
             stream.close()
 
     def write(self, name: str, text: str, replace: bool = False) -> None:
-        """The file appears whole or not at all; an existing one is replaced only if asked for."""
+        """The file appears whole or not at all; an existing one is replaced only if asked for.
+
+        Of several writers of one name, one succeeds and the others get FileExistsError: a local file is
+        linked, a store with conditional writes is asked for one, elsewhere (HDFS) a rename refuses.
+        """
         if not replace and self.exists(name):
             raise FileExistsError(f"{self.root}/{name} exists: another writer has committed it")
+        if not replace and self._fs.getScheme() in CONDITIONAL_PUT:
+            return self._put_new(name, text)
         folder, _, last = name.rpartition("/")
         part = f"{folder}/.{last}.{uuid.uuid4().hex}"
-        stream = self._fs.create(self.at(part), True)
+        self._fill(self._fs.create(self.at(part), True), text)
+        try:
+            if not replace and self._fs.getScheme() == "file":
+                os.link(self._local(part), self._local(name))
+                return
+            if replace:
+                self._fs.delete(self.at(name), False)
+            if not self._fs.rename(self.at(part), self.at(name)):
+                raise FileExistsError(f"{self.root}/{name} could not be committed")
+        finally:
+            self._fs.delete(self.at(part), False)
+
+    def _put_new(self, name: str, text: str) -> None:
+        made = self._fs.createFile(self.at(name)).overwrite(False).recursive()
+        try:
+            self._fill(made.opt("fs.option.create.conditional.overwrite", "true").build(), text)
+        except Py4JJavaError as e:
+            if self.exists(name):
+                raise FileExistsError(f"{self.root}/{name} exists: another writer has committed it") from e
+            raise
+
+    def _fill(self, stream, text: str) -> None:
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        if replace:
-            self._fs.delete(self.at(name), False)
-        if not self._fs.rename(self.at(part), self.at(name)):
-            self._fs.delete(self.at(part), False)
-            raise FileExistsError(f"{self.root}/{name} could not be committed")
+
+    def _local(self, name: str) -> str:
+        return self._fs.makeQualified(self.at(name)).toUri().getPath()
 
     def delete(self, name: str) -> None:
         self._fs.delete(self.at(name), True)

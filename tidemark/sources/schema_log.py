@@ -34,13 +34,19 @@ class SchemaLog:
     def record(self, id: int, schema: StructType) -> str:
         """Write the blob once, and an event only when the hash changes."""
         sha = digest(schema)
-        if not self.files.exists(f"schema/blobs/{sha}.json"):
-            self.files.write(f"schema/blobs/{sha}.json", schema.json(), replace=True)
+        self._write_once(f"schema/blobs/{sha}.json", schema.json())
         events = self.events()
         if not events or events[-1][1] != sha:
-            self.files.write(f"schema/events/SCHEMA-{id:020d}-{sha}.ref", "", replace=True)
+            self._write_once(f"schema/events/SCHEMA-{id:020d}-{sha}.ref", "")
         return sha
 
+    def _write_once(self, name: str, text: str) -> None:
+        """The name says all of the content: whoever writes it first writes the same."""
+        try:
+            self.files.write(name, text)
+        except FileExistsError:
+            pass
+
     def blob(self, sha: str) -> StructType:
         text = self.files.read(f"schema/blobs/{sha}.json")
         if hashlib.sha256(text.encode()).hexdigest() != sha:

@@ -49,9 +49,9 @@ def net_changes(changes: DataFrame, key: list[str], seq: list[str], op: str | No
 class KeyedTable:
     """A table at one root.  Create it with :meth:`create`, find it with :meth:`open`."""
 
-    def __init__(self, spark: SparkSession, root: str, key: list[str], buckets: int, retention: int = 1, all_null_is_delete: bool = False):
+    def __init__(self, spark: SparkSession, root: str, key: list[str], buckets: int, retention: int = 1, all_null_is_delete: bool = False, grace_ms: int = 600_000):
         self.spark, self.root, self.key, self.buckets = spark, root, list(key), buckets
-        self.retention, self.all_null_is_delete = retention, all_null_is_delete
+        self.retention, self.all_null_is_delete, self.grace_ms = retention, all_null_is_delete, grace_ms
         self.log = SnapshotLog(spark, root)
         self.schemas = SchemaLog(self.log.files)
 
@@ -64,7 +64,7 @@ class KeyedTable:
             raise OptionError("A primary key is required")
         if options.bucket is None:
             raise OptionError("Option 'bucket' is required")
-        table = KeyedTable(spark, options.path, list(options.primary_key), options.bucket, options.retention, options.all_null_is_delete)
+        table = KeyedTable(spark, options.path, list(options.primary_key), options.bucket, options.retention, options.all_null_is_delete, options.grace_ms)
         table._fits(table.log.latest())
         return table
 
@@ -72,7 +72,7 @@ class KeyedTable:
     def open(spark: SparkSession, options: TableOptions) -> KeyedTable:
         """An existing table to read from; bucket count and key come from its newest snapshot."""
         last = SnapshotLog(spark, options.path).load(options.snapshot)
-        table = KeyedTable(spark, options.path, list(options.primary_key) or last.primary_key, options.bucket or last.buckets, options.retention)
+        table = KeyedTable(spark, options.path, list(options.primary_key) or last.primary_key, options.bucket or last.buckets, options.retention, grace_ms=options.grace_ms)
         table._fits(last)
         return table
 
@@ -131,6 +131,9 @@ class KeyedTable:
         ``op`` names the column of row kinds; without it all rows are inserts.  ``seq``
         orders the changes of a key and has to be unique per key.  ``batch`` is
         (query, batch id) of a stream: a batch that is committed already changes nothing.
+
+        Where another writer commits meanwhile, the changes are applied to its snapshot instead:
+        of changes to one key by two writers, those committed later stand.
         """
         last = self.log.latest()
         self._fits(last)
@@ -139,10 +142,7 @@ class KeyedTable:
         seq = [seq] if isinstance(seq, str) else list(seq)
         values = [c for c in changes.columns if c not in (*self.key, *seq, op)]
         schema = self._schema_for(changes, seq, op, values)
-        if last is not None:
-            old = self.schema(last)
-            if old.simpleString() != schema.simpleString():
-                raise OptionError(f"The rows' columns {schema.simpleString()} differ from the table's {old.simpleString()}")
+        self._same_columns(last, schema)
         # columns that seq also names as values are carried twice: once to order, once to keep
         ordered = changes.select(*[F.col(c) for c in (*self.key, *([op] if op else []))], *[F.col(s).alias(f"_seq{i}") for i, s in enumerate(seq)], *[F.col(c) for c in schema.names if c not in self.key])
         net = net_changes(ordered, self.key, [f"_seq{i}" for i in range(len(seq))], op)
@@ -151,8 +151,32 @@ class KeyedTable:
             nothing = reduce(lambda a, b: a & b, (F.col(c).isNull() for c in stored))
             net = net.withColumn("_op", F.when(nothing, F.lit(DELETE)).otherwise(F.col("_op")))
         net = materialise(net.withColumn(BUCKET, bucket_of([F.col(k) for k in self.key], self.buckets)), "net")
-        id = (last.id if last else 0) + 1
         touched = sorted(r[0] for r in net.select(BUCKET).distinct().collect())  # at most the number of buckets
+        while True:
+            try:
+                snapshot = self._commit_onto(last, net, touched, schema, parallelism, batch)
+                break
+            except Exception:
+                newer = self.log.latest()
+                if newer is None or newer.id == (last.id if last else 0):
+                    raise
+                last = newer  # another writer was faster: each try that fails so is a commit of theirs
+                self._fits(last)
+                self._same_columns(last, schema)
+                if batch and last.batches.get(batch[0], -1) >= batch[1]:
+                    snapshot = last
+                    break
+        discard(net)
+        self.log.prune(self.retention, self.grace_ms)
+        return snapshot
+
+    def _same_columns(self, last: Snapshot | None, schema: StructType) -> None:
+        if last is not None and (old := self.schema(last)).simpleString() != schema.simpleString():
+            raise OptionError(f"The rows' columns {schema.simpleString()} differ from the table's {old.simpleString()}")
+
+    def _commit_onto(self, last: Snapshot | None, net: DataFrame, touched: list[int], schema: StructType, parallelism: int | None, batch: tuple[str, int] | None) -> Snapshot:
+        """Write the touched buckets of ``last`` with the changes, and commit them as the snapshot after it."""
+        id = (last.id if last else 0) + 1
         rows = net.where(F.col("_op") != DELETE).drop("_op")
         if last is not None and touched:
             before = self.rows_of(last, touched)
@@ -174,9 +198,11 @@ class KeyedTable:
             batches[batch[0]] = batch[1]
         sha = self.schemas.record(id, schema)
         snapshot = Snapshot(id, self.buckets, self.key, sha, files, sizes, None, batches)
-        self.log.commit(snapshot)
-        discard(net)
-        self.log.prune(self.retention)
+        try:
+            self.log.commit(snapshot)
+        except FileExistsError:
+            self.log.files.delete(folder)
+            raise
         return snapshot
 
     def _schema_for(self, changes: DataFrame, seq: list[str], op: str | None, values: list[str]) -> StructType:

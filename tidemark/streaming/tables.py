@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..options import OptionError
+from ..sources.fs import Files
 from ..sources.table import KeyedTable, snapshot_diff
 
 
@@ -37,7 +38,8 @@ def follow(table: KeyedTable, sink: Callable[[DataFrame, int], None], checkpoint
     skipped, and deleted rows just aren't there.  ``emit='changes'`` gives rows with ``_op``
     against the snapshot before, which retention has to have kept; else the whole snapshot as
     ``+I``.  A table without a snapshot is waited for.  ``poll_ms=None`` takes what there is
-    and ends.
+    and ends.  The id that the sink has seen is kept in the checkpoint's folder ``followed``, so a
+    query that is started again goes on from it; after a failure within the sink it comes again.
     """
     if emit not in ("snapshot", "changes"):
         raise OptionError(f"'emit' is 'snapshot' or 'changes', not '{emit}'")
@@ -46,7 +48,8 @@ def follow(table: KeyedTable, sink: Callable[[DataFrame, int], None], checkpoint
         files.write("snapshot/CURRENT", "0", replace=True)
     names = spark.readStream.schema("value string").option("pathGlobFilter", "SNAPSHOT-*.json").text(f"{table.root}/snapshot")
     names = names.selectExpr("cast(regexp_extract(_metadata.file_name, 'SNAPSHOT-([0-9]+)', 1) as bigint) AS id")
-    seen: list[int] = []
+    done = Files(spark, checkpoint)
+    kept = lambda: [int(n) for n in done.names("followed") if n.isdigit()]
 
     def newest(batch: DataFrame, _: int) -> None:
         from pyspark.sql import functions as F
@@ -57,10 +60,10 @@ def follow(table: KeyedTable, sink: Callable[[DataFrame, int], None], checkpoint
             return
         if id not in live:  # pruned meanwhile: a newer one has taken its place
             id = live[0]
-        if seen and id <= seen[-1]:
+        seen = kept()
+        before = max(seen, default=None)
+        if before is not None and id <= before:
             return
-        before = seen[-1] if seen else None
-        seen.append(id)
         if emit == "snapshot":
             sink(table.read(id), id)
         elif before in live:
@@ -68,6 +71,9 @@ def follow(table: KeyedTable, sink: Callable[[DataFrame, int], None], checkpoint
         else:
             rows = table.read(id)
             sink(rows.select(F.lit("+I").alias("_op"), *rows.columns), id)
+        done.write(f"followed/{id}", "", replace=True)
+        for old in seen:
+            done.delete(f"followed/{old}")
 
     writer = names.writeStream.foreachBatch(newest).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if poll_ms is None else writer.trigger(processingTime=f"{poll_ms} milliseconds")).start()
