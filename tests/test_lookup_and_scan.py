@@ -141,3 +141,17 @@ def test_page_limits(composite):
 def test_ranges(composite):
     assert sc.scan(composite, where=sc.key_range("a", 1, 3)).count() == 40
     assert sc.scan(composite, where=sc.key_range("a")).select(F.max("a")).first()[0] == 4
+
+
+def test_a_small_file_of_large_rows_is_not_broadcast(spark, tmp_path):
+    table = KeyedTable.create(spark, TableOptions.of(path=str(tmp_path / "t"), primary_key="id", bucket=2))
+    rows = spark.range(700).select("id", F.repeat(F.lit("x"), 100_000).alias("text"), F.lit(None).cast("array<string>").alias("tags"), F.lit(1).alias("_s"))
+    table.upsert(rows, "_s")
+    snapshot, probe = table.log.load(), spark.createDataFrame([(5,), (None,), (9999,)], "k long")
+    assert snapshot.bytes <= lk.BROADCAST_BYTES
+    side = lk.Lookup(table)
+    for columns, broadcast in ((["text"], False), (["tags"], True)):
+        joined = side.join(probe, {"id": "k"}, columns)
+        hinted = "ResolvedHint" in joined._jdf.queryExecution().analyzed().toString()
+        assert hinted == broadcast
+    assert sorted((r["k"] or -1, len(r["text"] or "")) for r in side.join(probe, {"id": "k"}, ["text"]).collect()) == [(-1, 0), (5, 100_000), (9999, 0)]

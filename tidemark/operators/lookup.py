@@ -8,12 +8,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
+
 from ..options import OptionError
 from ..sources.snapshots import Snapshot
 from ..sources.table import BUCKET, KeyedTable, bucket_of
 
-#: A snapshot whose files have fewer bytes than this is sent to all executors; a larger one is shuffled.
+#: A snapshot whose files have at most so many bytes, and whose rows, decoded, at most so many, is sent to
+#: all executors; a larger one is shuffled.
 BROADCAST_BYTES = 8 << 20
+BROADCAST_DECODED = 64 << 20
 
 
 class Lookup:
@@ -27,6 +31,7 @@ class Lookup:
     def __init__(self, table: KeyedTable, snapshot: int | None = None, refresh: bool = False):
         self.table, self.refresh = table, refresh
         self.pinned: Snapshot | None = table.log.load(snapshot) if snapshot else None
+        self._measured: tuple | None = None  # (snapshot's id, columns) last measured, and the bytes
 
     def current(self) -> Snapshot | None:
         if self.pinned is not None:
@@ -58,12 +63,23 @@ class Lookup:
         schema = self.table.schema(snapshot)
         columns = columns if columns is not None else [c for c in schema.names if c not in self.table.key]
         dim = self.table.rows_of(snapshot).select(*[F.col(k).alias(f"_lookup_{k}") for k in self.table.key], *[F.col(c).alias(f"_value_{c}") for c in columns])
-        if snapshot.bytes <= BROADCAST_BYTES:
+        if snapshot.bytes <= BROADCAST_BYTES and self._decoded(snapshot, dim) <= BROADCAST_DECODED:
             dim = F.broadcast(dim)
         equal = reduce(lambda a, b: a & b, (probe[on[k]] == dim[f"_lookup_{k}"] for k in self.table.key))
         joined = probe.join(dim, equal, how)
         return joined.select(*[probe[c] for c in probe.columns], *[F.col(f"_value_{c}").alias(c) for c in columns])
 
+    def _decoded(self, snapshot: Snapshot, dim: DataFrame) -> int:
+        """Bytes of the rows outside of their files, which may hold a repeated value once; one job a snapshot."""
+        at = (snapshot.id, tuple(dim.columns))
+        if self._measured is None or self._measured[0] != at:
+            wide = [f.name for f in dim.schema if isinstance(f.dataType, (StringType, BinaryType, ArrayType, MapType, StructType))]
+            row = F.lit(16 * len(dim.columns)).cast("long")
+            for name in wide:
+                row += F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+            self._measured = (at, dim.agg(F.sum(row)).first()[0] or 0)
+        return self._measured[1]
+
     def in_batches(self, on: dict[str, str], sink: Callable[[DataFrame, int], None], **join) -> Callable[[DataFrame, int], None]:
         """For ``foreachBatch``: each batch is joined with the snapshot of its time."""
         return lambda batch, id: sink(self.join(batch, on, **join), id)
