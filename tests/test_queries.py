@@ -42,6 +42,14 @@ def test_equals_sql(spark, db, name):
     assert rows(got) == rows(want)
 
 
+def test_products_beyond_a_long_are_shown_in_full(spark, tmp_path):
+    keys = [0, 1, -1, 1000, 1001, 1_024_000, 8_999_999, -8_999_999, 2**63 - 1, -(2**63), None]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    got = {r["o_orderkey"]: r["shown"] for r in entry.queries()["display_longs"](spark, str(tmp_path)).collect()}
+    exact = {k: k * 9007199254740 for k in keys if k is not None}
+    assert got == {k: str(n) if abs(n) < 2**53 else f'"{n}"' for k, n in exact.items()} | {None: None}
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 

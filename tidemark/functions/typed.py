@@ -132,5 +132,5 @@ def display(c: Column, kind: T.DataType) -> Column:
 
 
 def guarded_long(c: Column) -> Column:
-    """JSON for a long: a number within the safe range, else a string."""
+    """JSON for a long, or a decimal without a fraction: a number within the safe range, else a string."""
     return F.when(c.between(-SAFE_LONG, SAFE_LONG), c.cast("string")).otherwise(F.concat(F.lit('"'), c.cast("string"), F.lit('"')))

@@ -284,8 +284,9 @@ SELECT o_orderkey, CASE WHEN abs(o_orderkey * 9007199254740) <= 9007199254740991
        ELSE '"' || CAST(o_orderkey * 9007199254740 AS VARCHAR) || '"' END AS shown FROM orders
 """)
 def display_longs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Longs as JSON: those a double can't hold become strings."""
-    return _t(spark, sf_dir, "orders").select("o_orderkey", guarded_long(F.col("o_orderkey") * F.lit(9007199254740).cast("long")).alias("shown"))
+    """Whole numbers as JSON: those a double can't hold become strings. The products are decimals: large keys make more than a long holds."""
+    product = F.col("o_orderkey").cast("decimal(20,0)") * F.lit(9007199254740).cast("decimal(13,0)")
+    return _t(spark, sf_dir, "orders").select("o_orderkey", guarded_long(product).alias("shown"))
 
 
 # -- keyed state ---------------------------------------------------------------------
