@@ -81,3 +81,80 @@ def test_the_count_filter_keeps_what_is_near_and_drops_the_rest():
         c = np.unique(np.concatenate([common[: 3 * n // 4], r.integers(0, 2**63, n // 2).astype(np.uint64)]))
         far += int((x == resemblance.positional_bytes(c)).sum()) >= resemblance.MATCHES
     assert met >= 1998 and filtered >= 1999 and far <= 20
+
+
+def test_fingerprints_are_simhashes_of_the_set():
+    """A bit is 1 if set in over half of the shingles' hashes; the first fingerprint is from op4's own hashes."""
+    from xxhash import xxh64_intdigest
+
+    for n in (1, 4, 7, 300, 1000):
+        text = " ".join(f"w{i % 600}" for i in range(n + 4))
+        hashes = [xxh64_intdigest(s, 42) for s in plain_set(text)]
+        got = resemblance.positional_bytes(resemblance.shingle_set(text)).view("<u8").tolist()
+        assert got[0] == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        others = resemblance.mixed(np.array(hashes, np.uint64)).T.tolist()
+        assert got == [sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs)) for hs in others]
+        assert len(set(got)) == len(got) == resemblance.FINGERPRINTS
+
+
+def listed(sets, blocks=1):
+    """The entries of all lists of some sets, in order; a set's number is its node."""
+    prints = np.stack([resemblance.positional_bytes(s) for s in sets])
+    words, first, rows = prints.view(np.int64), resemblance.lists(prints), []
+    for node in range(len(sets)):
+        for k in range(resemblance.FINGERPRINTS if len(sets[node]) <= resemblance.SMALL else resemblance.LISTED):
+            three = [int(words[node, (k + d) % resemblance.FINGERPRINTS]) for d in range(3)]
+            for key in first[node, k].tolist():
+                rows += [(key, min(node % blocks, other), max(node % blocks, other), node % blocks, node, *three) for other in range(blocks)]
+    return [np.array(c, np.int64) for c in zip(*sorted(rows), strict=True)]
+
+
+def test_pairs_at_the_least_similarity_meet_in_the_index_whatever_their_size():
+    """Planted pairs of 4 to 400 shingles through lists, entries and filters, in one index."""
+    r, sets = np.random.default_rng(8), []
+    for common, one, other in [(4, 0, 1), (5, 0, 1), (8, 0, 2), (12, 1, 2), (20, 2, 3), (28, 3, 4), (40, 5, 5), (80, 0, 20), (160, 20, 20), (320, 40, 40)] * 40:
+        x = r.integers(0, 2**64, common + one + other, np.uint64)
+        sets += [np.unique(x[: common + one]), np.unique(np.concatenate([x[:common], x[common + one :]]))]
+    found = resemblance._edges(listed(sets))
+    assert {(a, b) for a, b in zip(found["a"].to_pylist(), found["b"].to_pylist(), strict=True) if a // 2 == b // 2} >= {(k + 1, k) for k in range(0, len(sets), 2)}
+    for k in range(0, len(sets), 2):
+        assert len(set(resemblance.similar(sets[k : k + 2], np.stack([resemblance.positional_bytes(s) for s in sets[k : k + 2]])).tolist())) == 1
+
+
+def test_lists_by_runs_and_blocks_give_the_same_groups(monkeypatch):
+    """Near copies of a few texts, so that lists are hot: compared in steps, one by one, and in pairs of blocks."""
+    r, sets = np.random.default_rng(9), []
+    for _ in range(3):
+        base = r.integers(0, 2**64, 200, np.uint64)
+        for k in range(30):
+            own = base.copy()
+            own[r.integers(0, 200, k % 25)] = r.integers(0, 2**64, k % 25, np.uint64)
+            sets.append(np.unique(own))
+    keys = [set(resemblance.list_keys(resemblance.positional_bytes(s)).tolist()) for s in sets]
+    prints = np.stack([resemblance.positional_bytes(s) for s in sets]).view(np.uint64)
+
+    def met(i, j):
+        for k in range(resemblance.LISTED):
+            three = [(k + d) % resemblance.FINGERPRINTS for d in range(3)]
+            if {x >> 11 & 15 for x in keys[i] & keys[j]} >= {k} and np.bitwise_count(prints[i, three] ^ prints[j, three]).sum() <= resemblance.NEAR:
+                return True
+        return False
+
+    want = brute_components(range(len(sets)), met)
+    for run, blocks in ((64, 1), (2, 1), (64, 4), (2, 4)):
+        monkeypatch.setattr(resemblance, "RUN", run)
+        found = resemblance._edges(listed(sets, blocks))
+        pairs = set(zip(found["a"].to_pylist(), found["b"].to_pylist(), strict=True))
+        assert brute_components(range(len(sets)), lambda i, j: (max(i, j), min(i, j)) in pairs) == want  # noqa: B023
+
+
+def test_hot_lists_are_split_by_a_second_byte_and_into_blocks(spark, monkeypatch):
+    rows = planted()
+    sets = [plain_set(t) for _, t in rows]
+    group = brute_components(range(len(rows)), lambda i, j: near(sets[i], sets[j]))
+    low = {}
+    for k, (i, _) in enumerate(rows):
+        low[group[k]] = min(low.get(group[k], 10**9), 10**9 if i is None else i)
+    monkeypatch.setattr(resemblance, "LIST", 2)
+    got = resemblance.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(low.values())

@@ -1,21 +1,26 @@
-"""Near duplicates at five words and a similarity of 0.8: the byte-position index of :mod:`simhash` for sets of shingles.
-
-Two texts with a Jaccard similarity of 0.8 differ in about ten of a SimHash's 64 bits, and
-so share hardly any whole byte: no index of its bytes guarantees a match.  Here a
-fingerprint has ``BANDS * ROWS`` positional bytes instead, each the lowest byte of the
-smallest of the set's hashes under a function of its own; two sets share a byte with a
-chance of their similarity, or a little more.  The method is the same.  Lists of the
-index are keyed by ``ROWS`` positions and their bytes; shared positional bytes are tallied for each
-pair that meets, pairs with fewer than ``MATCHES`` are dropped, and only the rest are verified,
-by comparing their sets in full.  Pairs of at least ``SIMILARITY`` are linked; the groups are the
-components of the links.  A pair of similarity 0.8 meets in no list with a chance of 0.0002
-and falls short of ``MATCHES`` with one of 0.00001; at 0.9 either is less than one in a billion.
-
-Texts with equal sets are one node.  Nodes of a list are linked to the smallest of them, which
-keeps all that is reachable; a component of these links is a list of pairs.
-One of more than ``BLOCK`` shingles is dealt into blocks, and each pair of
-blocks is a list of its own, so no task holds more than two blocks and no pair is
-missed.  Nodes that are linked already aren't compared again.
+"""Near duplicates at five words and a similarity of 0.8: SimHash fingerprints found through a byte-position index.
+
+The method is that of :mod:`simhash`, at a wider distance.  Two texts with a Jaccard similarity
+of 0.8 differ in about 0.15 of a SimHash's bits, ten of 64, and share two or three of its eight
+positional bytes.  No number of shared bytes is certain there, so a text has ``FINGERPRINTS`` of
+64 bits, each by the same rule (a bit is 1 if set in over half of the hashes of the set's shingles)
+from hashes of its own; the first is from the XXH64 itself.  ``LISTED`` of them are indexed, for sets of up to ``SMALL``
+shingles, whose few bits turn more easily, all.  A list of the index is keyed by a position and its byte, and
+two texts of a list meet if they share another, later byte of the fingerprint.  Those that meet
+are linked as candidates if this fingerprint and the next two differ in at most ``NEAR`` of 192 bits.
+
+In a group of candidates the positional bytes that a pair shares are tallied, pairs with fewer than ``MATCHES``
+of 128 (``FEW``, if one is small) are dropped, and the rest are verified: at most ``DISTANCE`` of 1,024 bits may differ, and then the
+sets are compared in full.  Pairs of at least ``SIMILARITY`` are linked; the groups are the
+components of the links.  By design, a pair of similarity 0.8 meets nowhere with a chance of
+0.0002, and falls short of ``MATCHES`` with one of 0.0001; at 0.9 either is less than one in a million.
+
+Texts with equal sets are one node.  A list of more than ``LIST`` nodes is replaced by one for
+each later position and its byte; of these, one that still is too long is dealt into blocks, and each
+pair of blocks is a list of its own.  What leaves a list is one edge per node to the first of its
+component there, which keeps all that is reachable; a component of these edges is a group of candidates.
+One of more than ``BLOCK`` shingles is dealt into blocks in the same way, so no task holds more
+than two blocks and no pair is missed.  Nodes that are linked already aren't compared again.
 
 Defined results:
 
@@ -36,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
 from ..scratch import discard
@@ -45,9 +50,15 @@ from .components import components
 from .simhash import SEED, WORDS, one_each, shingles
 
 SHINGLE = 5
-#: The least similarity of a pair, as a fraction; keys of a node and positions of a key; least bytes shared; shingles of a block.
-SIMILARITY, BANDS, ROWS, MATCHES, BLOCK = (4, 5), 28, 6, 112, 250_000
-FACTORS = np.random.default_rng(SEED).integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+#: The least similarity of a pair, as a fraction; shingles of a block.
+SIMILARITY, BLOCK = (4, 5), 250_000
+#: SimHashes of a text, of 64 bits each; those that are indexed; shingles of a set for which all are.
+FINGERPRINTS, LISTED, SMALL = 16, 8, 32
+#: Most bits that differ in the three fingerprints of a list's entry, and in all; least positional bytes shared, and for a small set.
+NEAR, DISTANCE, MATCHES, FEW = 48, 250, 17, 10
+#: Entries of a list before it is split, and of equal bytes in it before they are compared one by one with the rest.
+LIST, RUN = 100_000, 64
+STEPS = np.arange(FINGERPRINTS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 #: Bitmaps, of 2**15 bits each, that tell which sets may be candidates.
 BITMAPS = 2048
 
@@ -71,55 +82,76 @@ def shingle_set(text: str | None) -> np.ndarray:
     return parts[1] if len(parts) == 2 else np.unique(np.concatenate(parts))
 
 
+def mixed(hashes: np.ndarray) -> np.ndarray:
+    """A row of FINGERPRINTS hashes for each: itself, then SplitMix64 of it from further and further on."""
+    z = hashes[:, None] + STEPS
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    z ^= z >> np.uint64(31)
+    z[:, 0] = hashes
+    return z
+
+
 def positional_bytes(hashes: np.ndarray) -> np.ndarray:
-    """The fingerprint of a set; zeros for an empty one."""
-    if not len(hashes):
-        return np.zeros(BANDS * ROWS, np.uint8)
-    low = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
-    for at in range(0, len(hashes), 4096):
-        low = np.minimum(low, (FACTORS[:, None] * hashes[None, at : at + 4096]).min(axis=1))
-    return low.astype(np.uint8)
+    """The SimHashes of a set, eight bytes each; zeros for an empty one."""
+    counts = np.zeros(64 * FINGERPRINTS, np.int64)
+    for at in range(0, len(hashes), 255):  # as many as a byte can count
+        octets = mixed(hashes[at : at + 255]).view(np.uint8)
+        counts += np.add.reduce(np.unpackbits(octets, axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return np.packbits(2 * counts > len(hashes), bitorder="little")
+
+
+def lists(prints: np.ndarray) -> np.ndarray:
+    """A list for each print, fingerprint and position but the last: the position's number and its byte."""
+    octets = prints.reshape(len(prints), FINGERPRINTS, 8)[:, :, :7].astype(np.int64)
+    return octets | (np.arange(FINGERPRINTS)[:, None] * 8 + np.arange(7)) << 8
 
 
-def list_keys(print_: np.ndarray) -> np.ndarray:
-    """The lists that a fingerprint is in: the number of each band and its bytes."""
-    return np.array([int.from_bytes(b.tobytes(), "little") << 8 | k for k, b in enumerate(print_.reshape(BANDS, ROWS))], np.int64)
+def longer(list_: np.ndarray, octet: np.ndarray, b: int) -> np.ndarray:
+    """A list's key with a second position ``b`` of the fingerprint and its byte: entries that share it meet."""
+    return list_ | (b + 1) << 16 | octet.astype(np.int64) << 20
+
+
+def list_keys(print_: np.ndarray, listed: int = LISTED) -> np.ndarray:
+    """What a print meets others by: a key for each two bytes of an indexed fingerprint."""
+    first, octets = lists(print_[None])[0, :listed], print_.reshape(FINGERPRINTS, 8)[:listed]
+    return np.concatenate([longer(first[:, a], octets[:, b], b) for a in range(7) for b in range(a + 1, 8)])
 
 
 def with_sets(docs: DataFrame, text_col: str) -> DataFrame:
-    """The columns of ``docs`` but the text, then the node, the lists, the fingerprint and the set of each text."""
+    """The columns of ``docs`` but the text, then the node, the fingerprints and the set of each text."""
     rest = [f for f in docs.schema if f.name != text_col]
-    made = [StructField("node", LongType()), StructField("keys", ArrayType(LongType())), StructField("print", BinaryType()), StructField("set", BinaryType())]
+    made = [StructField("node", LongType()), StructField("print", BinaryType()), StructField("set", BinaryType())]
     schema = StructType([*rest, *made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            nodes, keys, prints, sets = [], [], [], []
+            nodes, prints, sets = [], [], []
             for text in batch.column(text_col).to_pylist():
                 found = shingle_set(text)
-                print_ = positional_bytes(found)
                 sets.append(found.tobytes())
                 nodes.append(xxh64_intdigest(sets[-1], SEED))
-                prints.append(print_.tobytes())
-                keys.append(list_keys(print_) if len(found) else np.empty(0, np.int64))
-            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64())), pa.array(prints, pa.binary()), pa.array(sets, pa.binary())]
+                prints.append(positional_bytes(found).tobytes())
+            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(prints, pa.binary()), pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), *made], schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
 def similar(sets: list[np.ndarray], prints: np.ndarray) -> np.ndarray:
-    """The first of its component for each set, pairs of at least SIMILARITY being linked; ``prints`` has a fingerprint a row."""
+    """The first of its component for each set, pairs of at least SIMILARITY being linked; ``prints`` has the fingerprints of a set a row."""
     size = np.array([len(s) for s in sets])
     ends = np.cumsum(size)
     starts, root = ends - size, np.arange(len(sets))
     names, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    own = np.zeros(len(names), bool)
+    own, words = np.zeros(len(names), bool), prints.view(np.uint64)
     over, under = SIMILARITY
     for i in range(len(sets) - 1):
         rest = np.arange(i + 1, len(sets))
         rest = rest[(root[rest] != root[i]) & (under * np.minimum(size[rest], size[i]) >= over * np.maximum(size[rest], size[i]))]
-        rest = rest[(prints[rest] == prints[i]).sum(axis=1) >= MATCHES]  # the count filter
+        least = np.where(np.minimum(size[rest], size[i]) <= SMALL, FEW, MATCHES)
+        rest = rest[(prints[rest] == prints[i]).sum(axis=1) >= least]  # the count filter
+        rest = rest[np.bitwise_count(words[rest] ^ words[i]).sum(axis=1, dtype=np.int64) <= DISTANCE]
         if not len(rest):
             continue
         own[ids[starts[i] : ends[i]]] = True
@@ -155,13 +187,129 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield edges()
 
 
+def _edges(columns: list[np.ndarray]) -> pa.RecordBatch:
+    """Whole lists (list, one, two, block, node, w0, w1, w2) to edges from nodes to the first of their component in the list."""
+    key, one, two, block, node = columns[:5]
+    words, cross, n = np.stack(columns[5:], axis=1).view(np.uint64), one != two, len(node)
+    octets = words.view(np.uint8)
+    new = np.ones(n, np.int64)
+    new[1:] = (key[1:] != key[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    number, first, only, root = np.cumsum(new), key >> 8 & 7, key >> 16 & 15, np.arange(n)
+
+    def near(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which of the entries ``j`` are to be linked to those of ``i``, or to the only one."""
+        met = np.flatnonzero((root[i] != root[j]) & (~cross[i] | (block[i] != block[j])))
+        fits = np.zeros(len(j), bool)
+        i = i[met] if len(i) == len(j) else i
+        fits[met] = np.bitwise_count(words[i] ^ words[j[met]]).sum(axis=1, dtype=np.int64) <= NEAR
+        return fits
+
+    def link(i: int, j: int) -> None:
+        while root[i] != i:
+            i = root[i]
+        while root[j] != j:
+            j = root[j]
+        root[max(i, j)] = min(i, j)
+
+    def flat() -> None:
+        while not np.array_equal(up := root[root], root):
+            root[:] = up
+
+    for b in range(1, 8):
+        at = np.flatnonzero((first < b) & ((only == 0) | (only == b + 1)))
+        shared = number[at] << 8 | octets[at, b]
+        order = np.argsort(shared, kind="stable")
+        at, shared = at[order], shared[order]
+        ends = np.searchsorted(shared, shared, "right")
+        starts = np.searchsorted(shared, shared, "left")
+        left, long = ends - np.arange(len(at)), ends - starts > RUN
+        here, far = np.flatnonzero((left > 1) & ~long), 1
+        while len(here):
+            i, j = at[here], at[here + far]
+            fits = near(i, j)
+            for x, y in zip(i[fits].tolist(), j[fits].tolist(), strict=True):
+                link(x, y)
+            if fits.any():
+                flat()
+            far += 1
+            here = here[left[here] > far]
+        for start in np.unique(starts[long]).tolist():
+            rest = at[start : ends[start]]
+            while len(rest) > 1:  # a component at a time: what is near to one of it joins, and then is asked for itself
+                queue, rest = [rest[0]], rest[1:]
+                while queue and len(rest):
+                    i = queue.pop()
+                    joined = root[rest] == root[i]
+                    fits = joined | near(np.array([i]), rest)
+                    for y in rest[fits & ~joined].tolist():
+                        link(i, y)
+                    if fits.any():
+                        flat()
+                        queue += rest[fits].tolist()
+                        rest = rest[~fits]
+    moved = np.flatnonzero(root != np.arange(n))
+    return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], ["a", "b"])
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of lists in order to edges, whole lists at a time."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        columns = [c.to_numpy() for c in batch.columns]
+        held = [np.concatenate(x) for x in zip(held, columns, strict=True)] if held else columns
+        done = int(np.argmax((held[0] == held[0][-1]) & (held[1] == held[1][-1]) & (held[2] == held[2][-1])))  # the last list may go on
+        if done:
+            yield _edges([x[:done] for x in held])
+            held = [x[done:] for x in held]
+    if held:
+        yield _edges(held)
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows (node, print, small) to arrays of lists, nodes, their words, and the number of the fingerprint."""
+    for batch in small_batches(batches):
+        prints = np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+        small = batch.column("small").to_numpy(zero_copy_only=False)
+        row, word, at = np.nonzero(np.broadcast_to(((np.arange(FINGERPRINTS) < LISTED) | small[:, None])[:, :, None], (len(small), FINGERPRINTS, 7)))
+        yield lists(prints)[row, word, at], batch.column("node").to_numpy()[row], prints.view(np.int64)[row], word
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for key, node, words, word in _entries(batches):
+        three = [words[np.arange(len(word)), (word + k) % FINGERPRINTS] for k in range(3)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, node, *three)], ["list", "node", "w0", "w1", "w2"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(FINGERPRINTS * 8 * 256, np.int64)
+    for key, *_ in _entries(batches):
+        total += np.bincount(key, minlength=len(total))
+    yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total)), pa.array(total[total > 0])], ["list", "n"])
+
+
 def candidates(marked: DataFrame) -> DataFrame:
-    """(node, root) of every node that shares a key with another, through chains."""
-    lists = marked.select("node", F.explode("keys").alias("key"))
-    shared = lists.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    shared = materialise(shared.select("key", "low"), "keys")
-    stars = materialise(components(lists.join(shared, "key").select(F.col("node").alias("a"), F.col("low").alias("b"))), "candidates")
-    discard(shared)
+    """(node, root) of every node near another by a list of the index, through chains."""
+    size = F.octet_length("set") / 8
+    nodes = marked.where("octet_length(set) > 0").select("node", "print", (size <= SMALL).alias("small"))
+    nodes = materialise(nodes.groupBy("node").agg(F.first("print").alias("print"), F.first("small").alias("small")), "nodes")
+    many = nodes.mapInArrow(_counted, "list long, n long").groupBy("list").agg(F.sum("n").alias("n")).where(F.col("n") > LIST)
+    many = [r["list"] for r in many.collect()]  # of 32,768 lists that there are
+    rows = nodes.mapInArrow(_listed, "list long, node long, w0 long, w1 long, w2 long")
+    shared = (rows.where(~F.col("list").isin(many)) if many else rows).withColumn("blocks", F.lit(1))
+    if many:
+        b = F.explode(F.sequence(F.shiftright("list", 8).bitwiseAND(F.lit(7)) + 1, F.lit(7).cast("long"))).alias("b")
+        more = rows.where(F.col("list").isin(many)).select("*", b)
+        # by longer(): with the second position and its byte
+        more = more.withColumn("list", F.expr("list | shiftleft(b + 1, 16) | shiftleft(shiftright(w0, cast(8 * b as int)) & 255L, 20)")).drop("b")
+        sizes = more.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        sizes = materialise(sizes.select("list", F.ceil(F.col("n") / LIST).cast("int").alias("blocks")), "lists")
+        shared = shared.unionByName(more.join(sizes, "list"))
+    shared = shared.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pairs = shared.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    pairs = pairs.select("list", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "w0", "w1", "w2")
+    ordered = pairs.repartition("list", "one", "two").sortWithinPartitions("list", "one", "two", "node")
+    stars = materialise(components(ordered.mapInArrow(_met, "a long, b long").distinct()), "candidates")
+    discard(nodes)
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
 
 
@@ -182,7 +330,7 @@ def possible(marked: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def links(marked: DataFrame) -> DataFrame:
-    """Rows (node, keys, print, set) to edges (a, b) that connect all nodes of at least SIMILARITY."""
+    """Rows (node, print, set) to edges (a, b) that connect all nodes of at least SIMILARITY."""
     size = (F.octet_length("set") / 8).cast("long")
     rooted = materialise(candidates(marked), "rooted")
     found = materialise(possible(marked, rooted).groupBy("node").agg(F.first("print").alias("print"), F.first("set").alias("set")).join(rooted, "node"), "compared")
