@@ -105,3 +105,24 @@ def test_hot_keys_are_spread_over_blocks(spark):
     df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("one line that every document has").alias("text"))
     got = line_dedup.dedup_lines(df).where("text <> ''").collect()
     assert [r["doc_id"] for r in got] == [19_999]
+
+
+def test_many_partitions_make_few_files(spark, tmp_path):
+    """Tasks follow the input, not the number of partitions: each file that is written starts processes."""
+    df = spark.createDataFrame(rows(), "doc_id long, text string")
+    df.coalesce(3).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    held = {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        line_dedup.keep_bitmaps(docs).write.parquet(str(tmp_path / "bitmaps"))
+        line_dedup.dedup_lines(docs).write.parquet(str(tmp_path / "kept"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {d: len(list((tmp_path / d).glob("*.parquet"))) for d in ("bitmaps", "kept")}
+    assert files["bitmaps"] <= 12 and files["kept"] <= 12 + 3, files
+    got = spark.read.parquet(str(tmp_path / "kept")).collect()
+    assert sorted(repr((r["doc_id"], r["text"])) for r in got) == sorted(repr((i, kept)) for i, _, kept in plain(rows()))

@@ -43,4 +43,19 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterato
             yield batch.slice(at, rows)
 
 
-__all__ = ["LOWER", "SPACES", "SPACE_RUN", "UPPER", "WORD", "ascii_lower", "materialise", "small_batches", "table", "text_hash", "whole"]
+#: Bytes of input for a task, and the fewest tasks, where a step has more partitions than its input needs.
+TASK_BYTES, TASKS = 2 << 20, 12
+
+
+def few_tasks(df: DataFrame, source: DataFrame) -> DataFrame:
+    """``df`` in as many tasks, and so files, as the size of ``source`` needs, if it has more.
+
+    A local file that Spark writes starts a process or two (``chmod``), each with the writer's memory until it
+    runs its program: hundreds of files with a few rows cost more than their rows. The size is the
+    plan's estimate; where nothing is known it is huge, and ``df`` stays as it is.
+    """
+    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.coalesce(max(TASKS, min(size // TASK_BYTES, 1 << 30)))
+
+
+__all__ = ["LOWER", "SPACES", "SPACE_RUN", "UPPER", "WORD", "ascii_lower", "few_tasks", "materialise", "small_batches", "table", "text_hash", "whole"]

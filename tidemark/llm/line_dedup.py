@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import SPACES, ascii_lower, materialise, text_hash, whole
+from .common import SPACES, ascii_lower, few_tasks, materialise, text_hash, whole
 
 #: Bits of an id within a block: 2^12 ids.
 BLOCK_BITS = 12
@@ -81,10 +81,11 @@ def keep_bitmaps(
     are left out, the others in order.  Documents that keep every line have no row at all.
     """
     occ = materialise(occurrences(docs, id_col, text_col, min_key_chars), "lines")
-    keys = materialise(repeated_keys(occ, min_docs), "keys")  # both sides are then plain shuffles, and a hot key can be split
+    keys = materialise(few_tasks(repeated_keys(occ, min_docs), docs), "keys")  # both sides are then plain shuffles, and a hot key can be split
     gone = occ.join(keys, ["__h1", "__h2"]).where(~F.col("__id").eqNullSafe(F.col("__keeper")))
     words = gone.groupBy("__id", "__text", F.shiftright("__pos", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, __pos & 63)")).alias("bits"))
-    return words.groupBy("__id", "__text").agg(F.sum(F.bit_count("bits")).cast("long").alias("__dropped"), F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("__bitmap"))
+    bitmaps = words.groupBy("__id", "__text").agg(F.sum(F.bit_count("bits")).cast("long").alias("__dropped"), F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("__bitmap"))
+    return few_tasks(bitmaps, docs)
 
 
 def dense(bitmap: Column) -> Column:
@@ -113,7 +114,7 @@ def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", te
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("__rid"), text_hash(whole(text_col)).alias("__rtext"))
     rows = _maybe_in(rows, marks)
     same = F.col("__rid").eqNullSafe(F.col("__bid")) & (F.col("__rtext") == F.col("__btext"))
-    joined = rows.where("__maybe").join(marks, same, "left").select("row", "__dropped", "__bitmap")
+    joined = few_tasks(rows.where("__maybe").join(marks, same, "left").select("row", "__dropped", "__bitmap"), docs)
     text = whole(F.col(f"row.`{text_col}`"))
     split = joined.select("row", "__dropped", dense(F.col("__bitmap")).alias("__words"), F.split(text, "\n").alias("__lines"))
     bit = lambda i: F.coalesce(F.get(F.col("__words"), F.shiftright(i, 6)), F.lit(0).cast("long"))
