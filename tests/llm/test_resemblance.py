@@ -158,3 +158,38 @@ def test_hot_lists_are_split_by_a_second_byte_and_into_blocks(spark, monkeypatch
     monkeypatch.setattr(resemblance, "LIST", 2)
     got = resemblance.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r["doc_id"] for r in got.collect()) == sorted(low.values())
+
+
+def test_many_partitions_make_few_files(spark, monkeypatch, tmp_path):
+    """Tasks follow the input, not the number of partitions: each file that is written starts processes."""
+    import pathlib
+
+    from tidemark.llm import components, mixing
+
+    files, write = {}, resemblance.materialise
+
+    def counted(df, label):
+        made = write(df, label)
+        files[label] = max(files.get(label, 0), len(list(pathlib.Path(made._scratch_path.removeprefix("file://")).glob("*.parquet"))))
+        return made
+
+    monkeypatch.setattr(resemblance, "materialise", counted)
+    monkeypatch.setattr(components, "materialise", counted)
+    rows = planted()
+    spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, source string").coalesce(3).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    want = sorted(map(repr, resemblance.keep_one(docs).collect()))
+    held = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        files.clear()
+        resemblance.keep_one(docs).write.parquet(str(tmp_path / "kept"))
+        mixing.mixed_rows(docs).write.parquet(str(tmp_path / "mixed"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files |= {d: len(list((tmp_path / d).glob("*.parquet"))) for d in ("kept", "mixed")}
+    assert {"nodes", "edges", "compared", "kept", "mixed"} <= set(files) and max(files.values()) <= 12, files
+    assert sorted(map(repr, spark.read.parquet(str(tmp_path / "kept")).collect())) == want

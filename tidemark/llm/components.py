@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import discard
-from .common import materialise
+from .common import few_tasks, materialise
 
 
 #: Edges of a task, and the fewest tasks of a round.
@@ -25,10 +25,13 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").bitwiseAND(F.lit((1 << 31) - 1)))).first())
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """Edges (a, b) to (node, root) of every node but the roots; a root is its component's smallest node."""
+def components(edges: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """Edges (a, b) to (node, root) of every node but the roots; a root is its component's smallest node.
+
+    If given, the size of ``source``, what the edges were found in, limits the tasks that write them.
+    """
     plain = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    plain = materialise(plain, "edges")
+    plain = materialise(plain if source is None else few_tasks(plain, source), "edges")
     last = None
     while (now := _mark(plain)) != last:
         last, tasks = now, max(TASKS, now[0] // ROWS)

@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, materialise, text_hash, whole
+from .common import WORD, few_tasks, materialise, text_hash, whole
 
 #: Bits of a rank that one round of the histogram tells apart, that all rounds do, and bits of a rank in all.
 ROUND_BITS, CUT_BITS, RANK_BITS = 13, 26, 39
@@ -235,4 +235,4 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     taken = mix(docs, id_col, text_col, source_col, **options).where("__copies > 0").select("__id", "__text", "__source", "__copies").distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("__rid"), F.col(source_col).alias("__rs"), text_hash(whole(text_col)).alias("__rtext"))
     same = F.col("__rid").eqNullSafe(F.col("__id")) & (F.col("__rtext") == F.col("__text")) & F.col("__rs").eqNullSafe(F.col("__source"))
-    return rows.join(taken, same).select("row", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select("row.*")
+    return few_tasks(rows.join(taken, same).select("row", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select("row.*"), docs)

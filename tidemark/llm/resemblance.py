@@ -45,7 +45,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
 from ..scratch import discard
-from .common import materialise, small_batches, text_hash, whole
+from .common import few_tasks, materialise, small_batches, text_hash, whole
 from .components import components
 from .simhash import SEED, WORDS, one_each, shingles
 
@@ -291,7 +291,8 @@ def candidates(marked: DataFrame) -> DataFrame:
     """(node, root) of every node near another by a list of the index, through chains."""
     size = F.octet_length("set") / 8
     nodes = marked.where("octet_length(set) > 0").select("node", "print", (size <= SMALL).alias("small"))
-    nodes = materialise(nodes.groupBy("node").agg(F.first("print").alias("print"), F.first("small").alias("small")), "nodes")
+    nodes = nodes.groupBy("node").agg(F.first("print").alias("print"), F.first("small").alias("small"))
+    nodes = materialise(few_tasks(nodes, marked), "nodes")
     many = nodes.mapInArrow(_counted, "list long, n long").groupBy("list").agg(F.sum("n").alias("n")).where(F.col("n") > LIST)
     many = [r["list"] for r in many.collect()]  # of 32,768 lists that there are
     rows = nodes.mapInArrow(_listed, "list long, node long, w0 long, w1 long, w2 long")
@@ -308,7 +309,7 @@ def candidates(marked: DataFrame) -> DataFrame:
     pairs = shared.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     pairs = pairs.select("list", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "w0", "w1", "w2")
     ordered = pairs.repartition("list", "one", "two").sortWithinPartitions("list", "one", "two", "node")
-    stars = materialise(components(ordered.mapInArrow(_met, "a long, b long").distinct()), "candidates")
+    stars = materialise(components(ordered.mapInArrow(_met, "a long, b long").distinct(), marked), "candidates")
     discard(nodes)
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
 
@@ -332,10 +333,11 @@ def possible(marked: DataFrame, nodes: DataFrame) -> DataFrame:
 def links(marked: DataFrame) -> DataFrame:
     """Rows (node, print, set) to edges (a, b) that connect all nodes of at least SIMILARITY."""
     size = (F.octet_length("set") / 8).cast("long")
-    rooted = materialise(candidates(marked), "rooted")
-    found = materialise(possible(marked, rooted).groupBy("node").agg(F.first("print").alias("print"), F.first("set").alias("set")).join(rooted, "node"), "compared")
+    rooted = materialise(few_tasks(candidates(marked), marked), "rooted")
+    found = possible(marked, rooted).groupBy("node").agg(F.first("print").alias("print"), F.first("set").alias("set")).join(rooted, "node")
+    found = materialise(few_tasks(found, marked), "compared")
     sizes = found.groupBy("root").agg(F.ceil(F.sum(size) / BLOCK).cast("int").alias("blocks"))
-    placed = found.join(materialise(sizes, "sizes"), "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = found.join(materialise(few_tasks(sizes, marked), "sizes"), "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pairs = placed.select("root", "node", "print", "set", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     pairs = pairs.select("root", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "node", "print", "set")
     ordered = pairs.repartition("root", "one", "two").sortWithinPartitions("root", "one", "two", "node")
@@ -346,8 +348,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row of each group: the smallest id, of equal ids the smallest hash of the text."""
     narrow = docs.select(F.col(id_col).alias("__id"), text_hash(whole(text_col)).alias("__text"), F.col(text_col).alias("__t"))
     marked = materialise(with_sets(narrow, "__t"), "sets")
-    stars = components(links(marked)).withColumnRenamed("node", "star").withColumnRenamed("root", "first")
+    stars = components(links(marked), marked).withColumnRenamed("node", "star").withColumnRenamed("root", "first")
     rooted = marked.select("__id", "__text", "node").join(stars, F.col("node") == F.col("star"), "left")
-    rooted = materialise(rooted.select("__id", "__text", F.coalesce("first", "node").alias("root")), "rooted")
+    rooted = rooted.select("__id", "__text", F.coalesce("first", "node").alias("root"))
+    rooted = materialise(few_tasks(rooted, marked), "rooted")
     discard(marked)
-    return one_each(docs, rooted, id_col, text_col)
+    return few_tasks(one_each(docs, rooted, id_col, text_col), docs)
