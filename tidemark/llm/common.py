@@ -50,7 +50,7 @@ TASK_BYTES, TASKS = 2 << 20, 12
 def few_tasks(df: DataFrame, source: DataFrame) -> DataFrame:
     """``df`` in as many tasks, and so files, as the size of ``source`` needs, if it has more.
 
-    A local file that Spark writes starts a process or two (``chmod``), each with the writer's memory until it
+    A local file that Spark writes starts three processes (``chmod``), each with the writer's memory until it
     runs its program: hundreds of files with a few rows cost more than their rows. The size is the
     plan's estimate; where nothing is known it is huge, and ``df`` stays as it is.
     """
